@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS o
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3)::DOUBLE AS w
+  FROM d GROUP BY source),
+c AS (
+  SELECT *, (3 * source_size)::DOUBLE AS cap, row_number() OVER (ORDER BY (3 * source_size)::DOUBLE / w, source ASC NULLS LAST) AS at FROM s),
+x AS (
+  SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER (ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+          / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS x FROM c),
+v AS (SELECT *, (SELECT arg_min(y.x, y.at) FROM x AS y WHERE y.w * y.x <= y.cap) AS level FROM x),
+t AS (
+  SELECT source, source_size, CASE WHEN w * level > cap THEN cap ELSE w * level END AS target FROM v),
+g AS (SELECT *, least(floor(target + 0.5)::BIGINT, 3 * source_size) AS goal FROM t),
+p AS (
+  SELECT doc_id, source, size,
+         coalesce(sum(size) OVER (PARTITION BY source ORDER BY o, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+  FROM d)
+SELECT p.doc_id, p.size, g.source_size, g.target,
+       (greatest(0, least(p.a + p.size, g.goal) - p.a)
+        + greatest(0, least(g.source_size + p.a + p.size, g.goal) - (g.source_size + p.a))
+        + greatest(0, least(2 * g.source_size + p.a + p.size, g.goal) - (2 * g.source_size + p.a)))::BIGINT AS taken
+FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing_to_target_weights": OP3}
