@@ -11,11 +11,11 @@ s AS (
   SELECT source, sum(size)::BIGINT AS source_size, (1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3)::DOUBLE AS w
   FROM d GROUP BY source),
 c AS (
-  SELECT *, (3 * source_size)::DOUBLE AS cap, row_number() OVER (ORDER BY (3 * source_size)::DOUBLE / w, source ASC NULLS LAST) AS at FROM s),
+  SELECT *, (3 * source_size)::DOUBLE AS cap, row_number() OVER (ORDER BY (3 * source_size)::DOUBLE / w, source ASC NULLS LAST) AS pos FROM s),
 x AS (
-  SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER (ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-          / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS x FROM c),
-v AS (SELECT *, (SELECT arg_min(y.x, y.at) FROM x AS y WHERE y.w * y.x <= y.cap) AS level FROM x),
+  SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+          / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS x FROM c),
+v AS (SELECT *, (SELECT arg_min(y.x, y.pos) FROM x AS y WHERE y.w * y.x <= y.cap) AS level FROM x),
 t AS (
   SELECT source, source_size, CASE WHEN w * level > cap THEN cap ELSE w * level END AS target FROM v),
 g AS (SELECT *, least(floor(target + 0.5)::BIGINT, 3 * source_size) AS goal FROM t),
