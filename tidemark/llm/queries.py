@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, quality, simhash
+from tidemark.llm import media, mixing, quality, simhash, warc
 from tidemark.llm.common import table
 
 
@@ -18,9 +19,21 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), radius=2, shingle=3)
 
 
+def op7_iso_media_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.features(media.store(table(spark, sf_dir, "documents")), payload=True)
+    first = F.concat_ws("+", F.get("keyframes", F.lit(0))["offset"], F.get("keyframes", F.lit(0))["length"])
+    feature = F.concat_ws(";", F.col("codec"), F.concat(F.col("seconds").cast("decimal(20,4)").cast("string"), F.lit("s")), F.concat(F.size("keyframes").cast("string"), F.lit("k")), first)
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op10_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks, index = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read(blocks, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and k[2].isdigit()}
