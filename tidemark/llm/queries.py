@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import media, mixing, quality, simhash, warc
+from tidemark.llm import media, mixing, quality, simhash, surrogates, warc
 from tidemark.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), radius=2, shingle=3)
 
 
+def op6_surrogate_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "entities")
+
+
 def op7_iso_media_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = media.features(media.store(table(spark, sf_dir, "documents")), payload=True)
     first = F.concat_ws("+", F.get("keyframes", F.lit(0))["offset"], F.get("keyframes", F.lit(0))["length"])
