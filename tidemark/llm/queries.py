@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import media, mixing, quality, simhash, surrogates, warc
+from tidemark.llm import media, mixing, quality, simhash, surrogates, warc, wrappers
 from tidemark.llm.common import table
 
 
+def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
