@@ -31,5 +31,35 @@ FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
 """
 
 
+OP5 = r"""
+WITH c AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours((page_id % 17520)::INTEGER) AS fetched,
+         regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
+  FROM pages),
+h AS (SELECT host, min(page_id) AS h FROM c WHERE host <> '' GROUP BY host),
+e AS (
+  SELECT 'host' AS kind, host AS value, 'block' AS action, TIMESTAMP '2024-01-01' + to_days((h * 37 % 365)::INTEGER) AS since FROM h WHERE h % 2 = 0
+  UNION ALL SELECT 'host', host, 'remove', TIMESTAMP '2024-01-01' + to_days((h * 37 % 365 + 90)::INTEGER) FROM h WHERE h % 6 = 0
+  UNION ALL SELECT 'host', host, 'block', TIMESTAMP '2024-01-01' + to_days((h * 37 % 365 + 200)::INTEGER) FROM h WHERE h % 12 = 0
+  UNION ALL SELECT 'prefix', host || '/fr', 'allow', TIMESTAMP '2024-05-30' FROM h WHERE h % 5 = 0
+  UNION ALL SELECT 'domain', 'cheap-pills.example.com', 'block', TIMESTAMP '2023-06-01'
+  UNION ALL SELECT 'domain', 'example.net', 'block', TIMESTAMP '2025-06-01'),
+m AS (
+  SELECT c.page_id, c.url, c.fetched, e.kind, e.value, e.action, e.since,
+         row_number() OVER (PARTITION BY c.page_id, e.kind, e.value ORDER BY e.since DESC) AS latest
+  FROM c JOIN e ON e.since <= c.fetched AND CASE e.kind
+    WHEN 'host' THEN c.host = e.value
+    WHEN 'domain' THEN c.host = e.value OR ends_with(c.host, '.' || e.value)
+    ELSE c.host || regexp_replace(c.path, '/+', '/', 'g') = e.value OR starts_with(c.host || regexp_replace(c.path, '/+', '/', 'g'), e.value || '/') END),
+a AS (
+  SELECT *, count(*) OVER (PARTITION BY page_id) AS n_active,
+         row_number() OVER (PARTITION BY page_id ORDER BY CASE kind WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END DESC, length(value) DESC, action DESC, value DESC) AS best
+  FROM m WHERE latest = 1 AND action <> 'remove')
+SELECT c.page_id, c.url, c.fetched, coalesce(a.action = 'block', false) AS blocked, a.kind AS rule_kind, a.value AS rule_value, a.since AS rule_since, coalesce(a.n_active, 0)::BIGINT AS n_active
+FROM c LEFT JOIN a ON a.page_id = c.page_id AND a.best = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing_to_target_weights": OP3}
+    return {"op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5}

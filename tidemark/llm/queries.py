@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import media, mixing, quality, simhash, surrogates, warc, wrappers
+from tidemark.llm import media, mixing, quality, quotes, simhash, surrogates, url_lists, warc, wrappers
 from tidemark.llm.common import table
 
 
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
 def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages"))
 
@@ -23,6 +27,34 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), radius=2, shingle=3)
 
 
+#: Days after the start of 2024 at which a page counts as fetched.
+FETCHED = "timestampadd(HOUR, cast(page_id % 17520 as int), timestamp_ntz '2024-01-01 00:00:00')"
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list that grows with the corpus: entries for half of all hosts, some of
+    them lifted and renewed, for a path of every fifth, and two for whole domains."""
+    hosts = pages.select("page_id", url_lists.host_of(F.col("url")).alias("host")).where("host <> ''").groupBy("host").agg(F.min("page_id").alias("h"))
+    day = lambda n: F.expr(f"timestampadd(DAY, cast({n} as int), timestamp_ntz '2024-01-01 00:00:00')")
+    entry = lambda kind, value, action, since: F.struct(F.lit(kind).alias("kind"), value.alias("value"), F.lit(action).alias("action"), since.alias("since"))
+    host = F.col("host")
+    some = F.array(
+        F.when(F.col("h") % 2 == 0, entry("host", host, "block", day("h * 37 % 365"))),
+        F.when(F.col("h") % 6 == 0, entry("host", host, "remove", day("h * 37 % 365 + 90"))),
+        F.when(F.col("h") % 12 == 0, entry("host", host, "block", day("h * 37 % 365 + 200"))),
+        F.when(F.col("h") % 5 == 0, entry("prefix", F.concat(host, F.lit("/fr")), "allow", day("150"))),
+    )
+    dated = hosts.select(F.explode(F.filter(some, lambda x: x.isNotNull())).alias("e")).select("e.*")
+    fixed = hosts.sparkSession.sql("select * from values ('domain', 'cheap-pills.example.com', 'block', timestamp_ntz '2023-06-01 00:00:00'), ('domain', 'example.net', 'block', timestamp_ntz '2025-06-01 00:00:00') as t(kind, value, action, since)")
+    return dated.unionByName(fixed)
+
+
+def op5_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.expr(FETCHED))
+    return url_lists.evaluate(captures, _list_entries(pages))
+
+
 def op6_surrogate_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "entities")
 
