@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import media, mixing, quality, quotes, simhash, surrogates, url_lists, warc, wrappers
+from tidemark.llm import media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, warc, wrappers
 from tidemark.llm.common import table
 
 
@@ -66,6 +67,14 @@ def op7_iso_media_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
 
 
+#: The tokenizer's model; only the driver reads it.
+MODEL = os.environ.get("TIDEMARK_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.Model.load(MODEL))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("distance")
 
