@@ -31,7 +31,7 @@ def truncated(rows: DataFrame, n: int) -> bool:
 def per_bucket(rows: DataFrame, bucket: str, order: Sequence[str | Column], n: int) -> DataFrame:
     """Round robin: the first ``n`` rows of every bucket (null is one), first rows of all buckets first."""
     w = Window.partitionBy(bucket).orderBy(*order)
-    return rows.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n)
+    return rows.withColumn("turn", F.row_number().over(w).cast("long")).where(F.col("turn") <= n)
 
 
 def overflow(rows: DataFrame, key: str, day: str, cap: int) -> DataFrame:

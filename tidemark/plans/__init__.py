@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.plans import market
+
 
 def queries() -> dict:
-    return {}
+    return dict(market.QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(market.ORACLES)
