@@ -16,7 +16,7 @@ from tidemark.operators import dedup, reshape
 
 EVENTS = ("t", "o", "i", "idx", "ptm")
 # The index codes and floors that are subscribed.
-INDEX_CODES = ("VNINDEX", "VN30", "HNXIndex", "HNX30", "UpcomIndex")
+INDEX_CODES = tuple("HOSE 30 100 MID SML XALL X50 SI ALL DIAMOND FINLEAD FINSELECT HNX HNX30 UPCOM".split())
 FLOORS = ("HOSE", "HNX", "UPCOM")
 
 # Frame keys and the columns that they fill, by kind of number.
