@@ -32,7 +32,7 @@ def fold(text: Column) -> Column:
 
 
 #: Source prefixes that titles carry.
-TITLE_PREFIX = r"(?i)^\s*(\(chinhphu\.vn\)\s*-?|\(đtck\)|\(dtck\)|bnews)\s*"
+TITLE_PREFIX = r"(?iu)^\s*(\(chinhphu\.vn\)\s*-?|\(đtck\)|\(dtck\)|bnews)\s*"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 
 

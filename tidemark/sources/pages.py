@@ -19,6 +19,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import dates, text
 from tidemark.operators import reshape
@@ -32,7 +33,7 @@ def decode(raw: bytes) -> str:
     return unicodedata.normalize("NFC", raw.decode("utf-16-le" if wide else "utf-8", errors="replace"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decoded(raw: pd.Series) -> pd.Series:
     return raw.map(lambda b: None if b is None else decode(bytes(b)))
 
@@ -183,7 +184,7 @@ def auction_rows(page: str) -> list[dict]:
     return out
 
 
-_AUCTION = "page_id string, session_date string, op_type string, tenor_days int, participants int, winners int, volume_bn decimal(38,10), rate decimal(38,10), error string"
+_AUCTION = "page_id string, session_date string, op_type string, tenor_days int, participants int, winners int, volume_bn string, rate string, error string"
 
 
 def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -202,14 +203,15 @@ def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
                     out += [{"page_id": r.page_id} | x for x in auction_rows(r.body)]
                 except (Refused, ValueError) as e:
                     out.append({"page_id": r.page_id, "error": str(e)})
-            frame = pd.DataFrame(out, columns=columns)
-            for c in ("tenor_days", "participants", "winners"):
-                frame[c] = frame[c].astype("Int32")
-            yield frame.astype({c: object for c in ("volume_bn", "rate")}).where(lambda f: f.notna(), None)
+            frame = pd.DataFrame(out, columns=columns, dtype=object)
+            for c in ("volume_bn", "rate"):  # as text: exact, whatever their places
+                frame[c] = frame[c].map(lambda x: None if x is None or x != x else str(x))
+            yield frame.astype(object).where(frame.notna(), None)
 
     rows = pages.select("page_id", "body").mapInPandas(run, _AUCTION)
     bad = rows.where("error is not null").select("page_id", "error")
-    merged = reshape.merge_same(rows.where("error is null"), ["page_id", "session_date", "op_type", "tenor_days"], ["volume_bn"], ["participants", "winners"], "rate")
+    typed = rows.withColumns({c: F.col(c).try_cast("decimal(28,10)") for c in ("volume_bn", "rate")})
+    merged = reshape.merge_same(typed.where("error is null"), ["page_id", "session_date", "op_type", "tenor_days"], ["volume_bn"], ["participants", "winners"], "rate")
     clash = merged.where("clash").select("page_id", F.lit("rows of one tenor differ in rate").alias("error")).distinct()
     good = merged.where("not clash").join(clash, "page_id", "left_anti")
     typed = good.select("page_id", F.to_date("session_date").alias("session_date"), "op_type", "tenor_days", "participants", "winners", (F.col("volume_bn") * BILLION).cast("decimal(38,2)").alias("volume_vnd"), F.col("rate").alias("rate_pct"))
