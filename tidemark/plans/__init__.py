@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.plans import market
+from tidemark.plans import market, writes
 
 
 def queries() -> dict:
+    assert writes  # registers its queries on import
     return dict(market.QUERIES)
 
 
