@@ -61,5 +61,63 @@ FROM c LEFT JOIN a ON a.page_id = c.page_id AND a.best = 1
 """
 
 
+OP10 = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(h, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) % 32 + 1, 1)), '') AS digest,
+    min(page_id) OVER (PARTITION BY h) AS first
+  FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, true AS intact
+FROM d
+"""
+
+
+def _op9(floors: tuple[float, ...] = (0.15, 0.6, 1.0, 1.0), steps: int = 3) -> str:
+    """The estimate unrolled: a common table per histogram, bound and set of moments."""
+    dims = range(4)
+    pairs = [(i, j) for i in dims for j in range(i + 1)]
+    columns = ", ".join(f"q{i}" for i in dims)
+
+    def distance(a: str) -> str:
+        """Tables of the forward substitution over rows joined to the estimate ``a``."""
+        y = [f"(q{i} / 10000.0 - m{i}" + "".join(f" - l{i}{j} * y{j}" for j in range(i)) + f") / l{i}{i} AS y{i}" for i in dims]
+        out = f"SELECT r.*, {', '.join(f'e.m{i}' for i in dims)}, {', '.join(f'e.l{i}{j}' for i, j in pairs)} FROM grouped r LEFT JOIN {a} e USING (g)"
+        for x in y:
+            out = f"SELECT *, {x} FROM ({out})"
+        return f"SELECT *, 0.0 + y0 * y0 + y1 * y1 + y2 * y2 + y3 * y3 AS d FROM ({out})"
+
+    sql = [
+        r"""t AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, chr(2)) AS lang, coalesce(lang, chr(2)) || chr(1) || coalesce(source, chr(2)) AS own, coalesce(text, '') AS x FROM documents)""",
+        r"""w AS MATERIALIZED (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM t)""",
+        """gr AS (SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS gram FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5))""",
+        """rep AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS c FROM gr) WHERE c > 1) GROUP BY rid)""",
+        r"""st AS MATERIALIZED (SELECT w.rid, doc_id, lang, own, len(ws)::BIGINT AS n_words, length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars, (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  len(ls) AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN rep USING (rid))""",
+        """q AS (SELECT *, floor(ln(1 + word_chars / greatest(n_words, 1)::DOUBLE) * 10000 + 0.5)::BIGINT AS q0, floor(ln(1 + 100 * n_symbols / greatest(n_words, 1)::DOUBLE) * 10000 + 0.5)::BIGINT AS q1,
+  floor(ln(1 + 100 * n_dup_lines / greatest(n_lines, 1)::DOUBLE) * 10000 + 0.5)::BIGINT AS q2, floor(ln(1 + 100 * n_repeat_words / greatest(n_words, 1)::DOUBLE) * 10000 + 0.5)::BIGINT AS q3,
+  CASE WHEN count(*) OVER (PARTITION BY own) < 40 THEN lang || chr(1) || chr(3) ELSE own END AS g0 FROM st)""",
+        """grouped AS MATERIALIZED (SELECT *, CASE WHEN count(*) OVER (PARTITION BY g0) >= 40 THEN g0 END AS g FROM q)""",
+    ]
+    middle = ", ".join(f"list_sort(list(floor(q{i} / 10) * 10))[ceil(count(*) / 2)::BIGINT] / 10000.0 AS m{i}" for i in dims)
+    roots = ", ".join(f"{floors[i] if i == j else 0.0}::DOUBLE AS l{i}{j}" for i, j in pairs)
+    sql.append(f"e0 AS MATERIALIZED (SELECT g, {middle}, {roots} FROM grouped WHERE g IS NOT NULL GROUP BY g)")
+    for k in range(steps):
+        sql.append(f"n{k} AS MATERIALIZED (SELECT g, {columns}, floor(ln(1 + d) * 64) AS bin FROM ({distance(f'e{k}')}) WHERE g IS NOT NULL)")
+        sql.append(f"b{k} AS (SELECT g, list_sort(list(bin))[ceil(count(*) * 0.75)::BIGINT] AS most FROM n{k} GROUP BY g)")
+        means = ", ".join(f"sum(q{i})::DOUBLE / count(*) / 10000 AS m{i}" for i in dims)
+        squares = ", ".join(f"sum(q{i} * q{j})::DOUBLE / count(*) / 10000 / 10000 AS e{i}{j}" for i, j in pairs)
+        inner = f"SELECT g, {means}, {squares} FROM n{k} JOIN b{k} USING (g) WHERE bin <= most GROUP BY g"
+        inner = f"SELECT g, {', '.join(f'm{i}' for i in dims)}, {', '.join(f'1.486::DOUBLE * (e{i}{j} - m{i} * m{j}) + {floors[i] ** 2 if i == j else 0.0!r}::DOUBLE AS v{i}{j}' for i, j in pairs)} FROM ({inner})"
+        for i, j in pairs:
+            less = f"v{i}{j}" + "".join(f" - l{i}{n} * l{j}{n}" for n in range(j))
+            inner = f"SELECT *, {f'sqrt({less})' if i == j else f'({less}) / l{j}{j}'} AS l{i}{j} FROM ({inner})"
+        sql.append(f"e{k + 1} AS MATERIALIZED ({inner})")
+    failed = "(n_words < 10 OR 100 * n_repeat_words > 20 * n_words)"
+    last = f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed, NOT {failed} AND NOT coalesce(d > 28.47, false) AS kept FROM ({distance(f'e{steps}')})"
+    return "WITH " + ",\n".join(sql) + "\n" + last
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5}
+    return {"op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5, "op9_quality_rules": _op9(), "op10_warc_index_first": OP10}
