@@ -31,7 +31,7 @@ def fold(text: Column) -> Column:
     return unaccent(F.lower(text))
 
 
-#: Source prefixes that titles carry.
+# Fixed value: source prefixes that titles carry.
 TITLE_PREFIX = r"(?iu)^\s*(\(chinhphu\.vn\)\s*-?|\(đtck\)|\(dtck\)|bnews)\s*"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 
@@ -49,7 +49,7 @@ def norm_title(title: Column) -> Column:
     return F.regexp_replace(fold(bare), "[^a-z0-9]", "")
 
 
-#: Query parameters that don't change a page.
+# Fixed value: query parameters that don't change a page.
 DROP_QUERY = r"^(utm_.*|gidzl|fbclid)=.*|^(gidzl|fbclid)$|^utm_[^=]*$"
 
 

@@ -50,9 +50,8 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], columns: Sequence
     return both.select(*[F.coalesce(f"o.{k}", f"n.{k}").alias(k) for k in key], *[merged(c).alias(c) for c in names], status.alias("status"))
 
 
-def counters(merged: DataFrame, sample: int = 50) -> DataFrame:
+def counters(merged: DataFrame) -> DataFrame:
     """One row: ``inserted``, ``changed``, ``same``, ``kept`` counts."""
-    del sample
     return merged.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("inserted", "changed", "same", "kept")])
 
 

@@ -8,7 +8,7 @@ rows that break a rule go to quarantine with a reason and are never dropped sile
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numbers
@@ -142,7 +142,7 @@ def normalize(accepted: DataFrame, event: str) -> tuple[DataFrame, DataFrame]:
 
 def unknown_keys(accepted: DataFrame) -> DataFrame:
     """How often each event carries a key that it isn't known to have."""
-    known = F.create_map(*[x for e in EVENTS for x in (F.lit(e), F.array(*map(F.lit, (lambda t: (*t[2], *t[3]))(_typed(e)))))])
+    known = F.create_map(*[x for e in EVENTS for x in (F.lit(e), F.array(*[F.lit(k) for part in _typed(e)[2:] for k in part]))])
     keys = accepted.select("event", F.explode(F.map_keys("fields")).alias("key"))
     return keys.where(~F.array_contains(known[F.col("event")], F.col("key"))).groupBy("event", "key").count()
 
@@ -176,7 +176,5 @@ def topics(symbols: DataFrame) -> DataFrame:
 
 def subscriptions(topics_: DataFrame, size: int = 100) -> DataFrame:
     """Topics in chunks of ``size``, as a client sends them."""
-    from pyspark.sql import Window
-
     n = topics_.withColumn("chunk", F.floor((F.row_number().over(Window.orderBy("topic")) - 1) / size))
     return n.groupBy("chunk").agg(F.sort_array(F.collect_list("topic")).alias("topics"))

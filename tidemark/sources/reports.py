@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import dedup, reshape
 
+# Blocks in the order in which they claim a code, exchanges by group code, fields that are no metrics.
 BLOCKS = ("stockScreenerItem", "financial", "priceInfo", "performance", "technical")
 EXCHANGE = {"VNINDEX": "HOSE", "HNXIndex": "HNX", "UpcomIndex": "UPCOM"}
-SPECIAL = {"CashDividend", "StockDividend", "ShareIssuance", "AGM"}
 NON_METRIC = ("organCode", "ebit", "ebitDa", "operating", "otherAssetBank", "otherAssetNonBank", "otherLiabilties", "rtq29", "yearReport", "quarterReport")
 LENGTHS = (1, 2, 3, 4, 5)
 
