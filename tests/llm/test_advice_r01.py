@@ -1,0 +1,58 @@
+"""Cases of the first review: each fails on the code it was written against."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline as c
+from tidemark.llm import simhash
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def brute_kept(texts, least=0.8, k=5):
+    """Least ids of the groups of similar texts, over all pairs."""
+    sets = {}
+    for i, t in texts.items():
+        w = t.lower().split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))}
+    parent = {i: i for i in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) - 1e-9:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i for i in texts if find(i) == i}
+
+
+def test_pipeline_drops_near_copies(spark):
+    rng = random.Random(3)
+    texts, at = {}, 0
+    for n in (40, 120, 300):
+        for _ in range(4):
+            base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            for changed in (0, 1, 1, max(1, n // 60), n // 20, n // 10):
+                now = list(base)
+                for k in rng.sample(range(n), changed):
+                    now[k] = f"x{rng.randrange(5000)}"
+                texts[at], at = " ".join(now), at + 1
+    drift = [f"d{i}" for i in range(200)]
+    for k in range(0, 100, 8):  # a chain whose ends are unlike
+        texts[at], at = " ".join(drift[k : k + 100]), at + 1
+    want = brute_kept(texts)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], DOCS)
+    assert {r.doc_id for r in c.near_dedup(spark, docs, "").collect()} == want
+    narrow = {r.doc_id for r in simhash.groups(docs).where("doc_id = component_id").collect()}
+    assert len(narrow) > len(want)
+
+
+def test_pipeline_drops_near_copies_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = brute_kept({r.doc_id: r.text or "" for r in docs.collect()})
+    assert {r.doc_id for r in c.near_dedup(spark, docs, "").collect()} == want

@@ -116,3 +116,78 @@ def groups(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col: str = "do
     least = cut(tree.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-least")
     named = cut(tree.join(least, "root").select("fp", "component_id"), "simhash-named")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Fixed values of the similarity rule: 32 bands of 4 least hashes.  A pair with a
+# similarity of 0.8 shares no band with a probability of 5e-8, a closer one with less.
+BANDS, ROWS = 32, 4
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(data: bytes | None, shingle: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of UTF-8 bytes; null or no word: none."""
+    words = (data or b"").translate(_LOWER).split()
+    grams = {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else ()
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams)))
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """Signed keys of the bands of a set of shingles."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 2048):
+        least = np.minimum(least, (hashes[at : at + 2048, None] * _FACTORS).min(axis=0))
+    return [_signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) for x in least.astype("<u8").reshape(BANDS, ROWS)]
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` whose sets have a Jaccard similarity of ``least`` or more."""
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("c"))
+    return cut(both.where(F.col("c") >= F.lit(least) * (F.col("n") - F.col("c")) - 1e-9).select("a", "b"), "similar-links")
+
+
+def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``component_id`` (as in ``groups``) under chains of similar texts.
+
+    Two texts are linked if the sets of their shingles have a Jaccard similarity of
+    ``least`` or more, which is computed exactly for all pairs that share a band.
+    (Covering masks would need ``2 ** (radius + 1) - 1`` tables, and similarities of
+    0.8 are 10 bits apart on average.)  Equal sets are one class; the members of a
+    band are held against its least one first, and then all against each other
+    that aren't in one component yet, so a large group makes no square of pairs.
+    """
+    small_batches(docs.sparkSession)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            keys = [_signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) if len(x) else 0 for x in sets]
+            signed = pa.array([bands(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), signed], ["doc_id", "sk", "n", "bands"])
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t, shingle).astype(np.int64) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["sk", "hashes"])
+
+    signed = cut(own.mapInArrow(sign, "doc_id long, sk long, n long, bands array<long>"), "similar-signed")
+    classes = cut(signed.groupBy("sk").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "similar-classes")
+    banded = classes.select("sk", "n", F.posexplode("bands").alias("t", "key"))
+    full = cut(banded.groupBy("t", "key").agg(F.count("*").alias("m"), F.min("sk").alias("hub")).where("m > 1").select("t", "key", "hub"), "similar-bands")
+    members = cut(banded.join(full, ["t", "key"]), "similar-members")
+    wanted = cut(members.select("sk").distinct().join(classes.select("sk", "rep"), "sk"), "similar-wanted")
+    texts = own.join(wanted, F.col("doc_id") == F.col("rep")).select("sk", "text")
+    sets = cut(texts.mapInArrow(expand, "sk long, hashes array<long>").dropDuplicates(["sk"]), "similar-sets")
+    first = _similar(members.where("sk <> hub").select(F.col("sk").alias("a"), F.col("hub").alias("b")).distinct(), sets, least)
+    named = members.join(components(first).withColumnRenamed("node", "sk"), "sk", "left").select("t", "key", "sk", "n", F.coalesce("root", "sk").alias("root"))
+    named = cut(named, "similar-named")
+    split = cut(named.groupBy("t", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t", "key"), "similar-split")
+    rest = cut(named.join(split, ["t", "key"]), "similar-rest")
+    ours, theirs = rest.toDF("t", "key", "a", "na", "ra"), rest.toDF("t", "key", "b", "nb", "rb")
+    close = F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb") - 1e-9
+    second = _similar(ours.join(theirs, ["t", "key"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & close).select("a", "b").distinct(), sets, least)
+    linked = components(first.unionByName(second))
+    tree = cut(classes.select("sk", "rep").join(linked.withColumnRenamed("node", "sk"), "sk", "left").select("sk", "rep", F.coalesce("root", "sk").alias("root")), "similar-tree")
+    low = cut(tree.groupBy("root").agg(F.min("rep").alias("component_id")), "similar-least")
+    return signed.select("doc_id", "sk").join(cut(tree.join(low, "root").select("sk", "component_id"), "similar-ids"), "sk").select("doc_id", "component_id")
