@@ -138,7 +138,7 @@ def calendar_coverage(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
     day = F.to_date("o_orderdate")
     have = read(spark, d, "lineitem").where("l_orderkey % 40 < 7").select(F.to_date("l_shipdate").alias("d"))
-    return series.covered(o.where("o_orderkey % 10 = 0").select(day.alias("day")).distinct(), "day", o.select(day.alias("d")), have, span=5)
+    return series.covered(o.select(day.alias("day")).distinct(), "day", o.select(day.alias("d")), have, span=5)
 
 
 _PATHS = "n_nationkey, concat('R', n_regionkey, '/G', n_nationkey % 7, '/N', n_nationkey)"
@@ -222,7 +222,7 @@ def catalogue_union(spark: SparkSession, d: str) -> DataFrame:
   SELECT o_custkey, year(day)::INTEGER AS year, o_orderkey, a, b, count(*) OVER (PARTITION BY o_custkey, year(day)) AS n_rows FROM e
   QUALIFY row_number() OVER (PARTITION BY o_custkey, year(day) ORDER BY (a IS NOT NULL)::INTEGER + (b IS NOT NULL)::INTEGER DESC, o_orderkey DESC) = 1""")
 def event_dedupe_best(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "orders").where("o_custkey % 4 = 0").select("o_custkey", F.year(F.coalesce(F.to_date("o_orderdate"), F.lit("1900-01-01").cast("date"))).alias("year"), "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("a"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderpriority")).alias("b"))
+    e = read(spark, d, "orders").select("o_custkey", F.year(F.coalesce(F.to_date("o_orderdate"), F.lit("1900-01-01").cast("date"))).alias("year"), "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("a"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderpriority")).alias("b"))
     return dedup.keep_best(e, ["o_custkey", "year"], ["a", "b"], ["o_orderkey"])
 
 
