@@ -37,12 +37,14 @@ KINDS = {
     "card": r"(?=[0-9])(?<![0-9+.])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
     "ssn": r"(?=[0-9])(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?=[0-9+(])(?<![0-9+])(?:\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[0-9]{3}[ .-][0-9]{4})(?![0-9])",
-    "hex": r"(?:[0-9a-f](?=[0-9a-f]{31})|[0-9A-F](?=[0-9A-F]{31}))(?<![A-Za-z0-9].)(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{31,127}|[0-9A-F]{31,127})(?![A-Za-z0-9])",
-    "secret": r"(?:AKIA(?<![A-Za-z0-9]....)[0-9A-Z]{16}|gh[pousr]_(?<![A-Za-z0-9]....)[A-Za-z0-9]{36}|sk-(?<![A-Za-z0-9]...)[A-Za-z0-9]{20,64}|xox[abprs]-(?<![A-Za-z0-9].....)[A-Za-z0-9-]{10,64})(?<=[A-Za-z_-]{0,64}[0-9][A-Za-z0-9-]{0,64})(?![A-Za-z0-9])",
+    "hex": r"(?:[0-9a-f](?=[0-9a-f]{31})|[0-9A-F](?=[0-9A-F]{31}))(?<![A-Za-z0-9].)(?:[0-9a-f]{31,127}|[0-9A-F]{31,127})(?![A-Za-z0-9])",
+    "secret": r"(?:AKIA(?<![A-Za-z0-9]....)[0-9A-Z]{16}|gh[pousr]_(?<![A-Za-z0-9]....)[A-Za-z0-9]{36}|sk-(?<![A-Za-z0-9]...)[A-Za-z0-9]{20,64}|xox[abprs]-(?<![A-Za-z0-9].....)[A-Za-z0-9-]{10,64})(?![A-Za-z0-9])",
     "name": rf"{_ANY_TITLE}{_NAME}|\p{{Lu}}(?<=(?<!\p{{L}}){_TITLE}\p{{Lu}}\p{{Ll}}{{1,30}}\s.)\p{{Ll}}{{1,30}}(?!\p{{L}})",
 }
 _NUMERIC = ("ip", "card", "ssn", "phone")
 PATTERN = "|".join([KINDS["email"], "(?=[0-9+(])(?:" + "|".join(KINDS[k] for k in _NUMERIC) + ")", *[v for k, v in KINDS.items() if k not in (*_NUMERIC, "email")]])
+#: What a text with an entity has: a digit, an @, a title or the start of a key.
+MAY = r"[0-9@]|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{36}|sk-[A-Za-z]{20}|xox[abprs]-[A-Za-z-]{10}|[a-f]{32}|[A-F]{32}"
 ATTEMPTS = 64
 KEY = "tidemark-demo-key"
 
@@ -193,7 +195,7 @@ def replace(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFram
     """
     kept = [c for c in docs.columns if c not in ("n_entities", "entities")]
     text = F.col(text_col)
-    may = F.coalesce(text.rlike("[0-9@]") | text.rlike(_ANY_TITLE), F.lit(False))  # else there is no entity
+    may = F.coalesce(text.rlike(MAY) | text.rlike(_ANY_TITLE), F.lit(False))  # else there is no entity
     key_of = row_key(text, F.length(text))
     found = cut(mentions(docs.where(may).select(key_of.alias("rk"), text.alias("text"))), "pii-mentions")
     named = found.join(assign(found, key), ["kind", "value"])
