@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import corpus_pipeline as c
 from tidemark.llm import simhash, surrogates
@@ -69,3 +70,22 @@ def test_keys_without_a_digit(spark):
     for k, t in zip(keys, got, strict=False):
         assert k not in t and k not in got[7] and t.startswith("the key is ") and t.endswith(" and no more")
     assert got[6] == "a task-oriented text stays"
+
+
+def test_national_phones(spark):
+    phones = ["030 1234567", "06 12 34 56 78", "06.12.34.56.78", "212 555 1234", "(030) 1234567", "0151/23456789", "0151-23456789", "0612345678", "612 34 56 78", "612 345 678", "91 234 56 78", "020 7946 0958"]
+    got = replaced(spark, *[f"call {p}, please" for p in phones])
+    for p, t in zip(phones, got, strict=True):
+        assert t != f"call {p}, please" and re.fullmatch("call " + re.sub("[0-9]", "[0-9]", re.sub(r"([().])", r"\\\1", p)) + ", please", t), (p, t)
+        assert t[5 + p.startswith("(")] == "0" or not p.lstrip("(").startswith("0")
+    plain = ["on 2024-01-02 and 01.02.2024 10:30", "12 numbers, 3.14, 1.2.3", "a sum of 700 000 000 or 1 612 345 678", "from 2019 to 2024, 250 of 1000", "08:15 to 09:45, 01/02/2024"]
+    assert replaced(spark, *plain) == plain
+
+
+def test_whole_names(spark):
+    names = ["McDonald", "Anna-Maria Schmidt", "John Fitzgerald Kennedy", "O'Brien", "J. R. R. Tolkien", "DeVito", "Jean-Luc D'Angelo", "Maria Anna Luisa Elena Rosa Vega"]
+    got = replaced(spark, *[f"we saw Mr. {n} there, then left" for n in names], "we saw Mr. McDonald's dog. Then a@b.example.com Left")
+    for n, t in zip(names, got, strict=False):
+        assert t.startswith("we saw Mr. ") and t.endswith(" there, then left") and not any(x in t for x in re.findall(r"\w\w+", n)), (n, t)
+        assert len(t.split()) == len(n.split()) + 6
+    assert "Donald" not in got[-1] and "'s dog. Then " in got[-1] and got[-1].endswith(" Left")

@@ -22,9 +22,17 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Signo
 OTHER = ("Dr", "Prof")
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+# National numbers: with a trunk zero in pairs, in one run or as area code and number
+# (nine digits at least), North American with spaces, Spanish.
+_NATIONAL = (
+    r"(?<![0-9][ .,/:-])(?:0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4}|[0-9]{8,10})"
+    r"|(?=(?:[ ()/-]{0,3}[0-9]){9})(?:\(0[1-9][0-9]{0,4}\) ?|0[1-9][0-9]{1,4}(?: ?[/-] ?| )|0[26] )[1-9][0-9]{1,8}(?:[ -][0-9]{2,5}){0,3}"
+    r"|[2-9][0-9]{2} [2-9][0-9]{2}[ -][0-9]{4}|[6-9][0-9]{2} (?!000)[0-9]{3} (?!000)[0-9]{3}(?![ .]?[0-9]{3})|[6-9][0-9]{2}(?: [0-9]{2}){3}|9[0-9] [0-9]{3}(?: [0-9]{2}){2})"
+)
 _TITLES = MALE + FEMALE + OTHER
 _TITLE = "(?:" + "|".join(_TITLES) + r")\.?\s"
-_NAME = r"\p{Lu}\p{Ll}{1,30}"
+#: A capitalised word with inner capitals, hyphens and apostrophes, or an initial before another.
+_NAME = r"(?:\p{Lu}\.(?=\s\p{Lu})|\p{Lu}(?:['’]\p{Lu})?[\p{L}\p{M}]{1,40}(?:-[\p{L}\p{M}]{1,40}|['’][\p{L}\p{M}]{2,40}){0,4})"
 _INITIALS = "".join(sorted({x[0] for x in _TITLES}))
 #: A title that is told by its first character at nearly all positions.
 _ANY_TITLE = rf"[{_INITIALS}](?<!\p{{L}}.)(?:" + "|".join(f"(?<={i})(?:{'|'.join(x[1:] for x in _TITLES if x[0] == i)})" for i in _INITIALS) + r")\.?\s"
@@ -36,10 +44,11 @@ KINDS = {
     "iban": r"[A-Z]{2}[0-9]{2}(?<![A-Za-z0-9]....)(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?=[0-9])(?<![0-9+.])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
     "ssn": r"(?=[0-9])(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?=[0-9+(])(?<![0-9+])(?:\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[0-9]{3}[ .-][0-9]{4})(?![0-9])",
+    "phone": rf"(?=[0-9+(])(?<![0-9+])(?:{_NATIONAL}|\+[1-9][0-9]{{0,2}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{1,4}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}|(?:\([2-9][0-9]{{2}}\) ?|[2-9][0-9]{{2}}[.-])[0-9]{{3}}[ .-][0-9]{{4}})(?![0-9])",
     "hex": r"(?:[0-9a-f](?=[0-9a-f]{31})|[0-9A-F](?=[0-9A-F]{31}))(?<![A-Za-z0-9].)(?:[0-9a-f]{31,127}|[0-9A-F]{31,127})(?![A-Za-z0-9])",
     "secret": r"(?:AKIA(?<![A-Za-z0-9]....)[0-9A-Z]{16}|gh[pousr]_(?<![A-Za-z0-9]....)[A-Za-z0-9]{36}|sk-(?<![A-Za-z0-9]...)[A-Za-z0-9]{20,64}|xox[abprs]-(?<![A-Za-z0-9].....)[A-Za-z0-9-]{10,64})(?![A-Za-z0-9])",
-    "name": rf"{_ANY_TITLE}{_NAME}|\p{{Lu}}(?<=(?<!\p{{L}}){_TITLE}\p{{Lu}}\p{{Ll}}{{1,30}}\s.)\p{{Ll}}{{1,30}}(?!\p{{L}})",
+    # further words of a name start where the word before them (no key in capitals) was found
+    "name": rf"{_ANY_TITLE}{_NAME}|\G(?<=\s\p{{Lu}}[\p{{L}}\p{{M}}'’.-]{{1,220}})(?<![A-Z]{{16}})\s{_NAME}",
 }
 _NUMERIC = ("ip", "card", "ssn", "phone")
 PATTERN = "|".join([KINDS["email"], "(?=[0-9+(])(?:" + "|".join(KINDS[k] for k in _NUMERIC) + ")", *[v for k, v in KINDS.items() if k not in (*_NUMERIC, "email")]])
@@ -127,7 +136,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     seeded = entities.select(
         "*", F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", value, F.col("attempt").cast("string")), 256).alias("__seed"),
         F.regexp_extract(value, r"@(.*)\.[A-Za-z]+$", 1).alias("__domain"),
-        F.regexp_extract(value, r"^(?:\+(?:1|[0-9]{1,3}(?=[ .(-])|[0-9]{2}))?[ .(-]*", 0).alias("__code"),
+        F.regexp_extract(value, r"^(?:\+(?:1|[0-9]{1,3}(?=[ .(-])|[0-9]{2})|\(?0)?[ .(-]*", 0).alias("__code"),
     )
     seed = F.col("__seed")
     domain = _shaped(F.col("__domain"), F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.col("__domain")), 256))
@@ -154,7 +163,7 @@ def mentions(rows: DataFrame) -> DataFrame:
     ``rows`` has ``rk`` and ``text``; rows with one ``rk`` have one text and count once.
     """
     found = rows.select("rk", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("pos", "m"))
-    title = F.regexp_extract("m", rf"^{_TITLE}", 0)
+    title = F.regexp_extract("m", rf"^(?:{_TITLE}|\s)", 0)
     bare = F.regexp_replace(title, r"\.?\s$", "")
     kinds = found.groupBy("rk", "pos").agg(F.first("m").alias("m")).select("rk", "pos", _kind(F.col("m")).alias("kind"), "m", title.alias("title"), bare.alias("bare"))
     named = F.col("kind") == "name"
