@@ -12,7 +12,8 @@ ZONE = "Asia/Ho_Chi_Minh"
 
 
 def local_date(ts: Column, zone: Column | str = ZONE) -> Column:
-    return F.to_date(F.from_utc_timestamp(ts, zone))
+    """Day of an instant in a zone, whatever the session's zone is."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.from_utc_timestamp(ts, zone)) / 86400).cast("int"))
 
 
 def minute(ts: Column) -> Column:

@@ -7,13 +7,14 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Base letters whose accented forms are folded.
-_BASE = "aAeEiIoOuUyYcCnNsSzZ"
+# Letters with a stroke, which have no decomposition, and their base letters.
+STRUCK, UNSTRUCK = "đĐłŁøØħĦŧŦ", "dDlLoOhHtT"
 
 
 def _accents() -> tuple[str, str]:
-    """All precomposed letters that decompose to an ASCII base letter, and those letters."""
-    pairs = [(chr(c), unicodedata.normalize("NFD", chr(c))[0]) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)) if unicodedata.normalize("NFD", chr(c))[0] in _BASE]
+    """All precomposed letters of the Latin blocks that decompose to an ASCII letter, and those letters."""
+    whole = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+    pairs = [(c, d[0]) for c, d in whole.items() if len(d) > 1 and d[0].isascii() and d[0].isalpha()]
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
@@ -22,8 +23,8 @@ COMBINING = r"[\u0300-\u036f]"
 
 
 def unaccent(text: Column) -> Column:
-    """Letters without accents; ``đ`` counts as an accented ``d``."""
-    return F.translate(F.regexp_replace(text, COMBINING, ""), ACCENTED + "đĐ", PLAIN + "dD")
+    """Letters without accents; a stroke through a letter counts as one."""
+    return F.translate(F.regexp_replace(text, COMBINING, ""), ACCENTED + STRUCK, PLAIN + UNSTRUCK)
 
 
 def fold(text: Column) -> Column:
@@ -150,6 +151,35 @@ def format_number(x: Column, places: int) -> Column:
     return F.translate(F.format_number(x, places), ",.", ".,")
 
 
+# Units of metrics with factor, decimals and what follows the number; money by its name in small amounts.
+METRIC_UNITS = {"ty_le_thap_phan": (100, 2, "%"), "lan": (1, 2, " lần"), "VND/CP": (1, 0, " đ/cp"), "co_phieu": (1, 0, " cp"), "so_luong": (1, 0, "")}
+MONEY = {"VND": " đ", "USD": " USD"}
+BILLION = 10**9
+
+
+def _money(x: Column, unit: Column, names: dict[str, str]) -> tuple[Column, Column]:
+    """Whether ``unit`` is money, and the amount: in billions with one decimal from a billion on, by size."""
+    small = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])[unit]
+    large = F.concat(format_number(x / BILLION, 1), F.lit(" tỷ "), unit)
+    return unit.isin(*names), F.when(F.abs(x) >= BILLION, large).otherwise(F.concat(format_number(x, 0), small))
+
+
+def display_metric(x: Column, unit: Column) -> Column:
+    """A metric with its unit; shares are shown in percent, unknown units with two decimals, no unit as null."""
+    money, amount = _money(x, unit, {"VND": MONEY["VND"]})
+    shown = F.when(money, amount)
+    for name, (factor, places, end) in METRIC_UNITS.items():
+        shown = shown.when(unit == name, F.concat(format_number(x * factor, places), F.lit(end)))
+    return shown.when(unit.isNotNull(), F.concat(format_number(x, 2), F.lit(" "), unit))
+
+
+def display_series(x: Column, unit: Column) -> Column:
+    """A value of a series with its free-text unit; percent is shown as it is, whole numbers without decimals."""
+    money, amount = _money(x, unit, MONEY)
+    number = F.when(x == F.floor(x), format_number(x, 0)).otherwise(format_number(x, 2))
+    return F.when(money, amount).when(unit == "%", F.concat(format_number(x, 2), F.lit("%"))).when(unit.isNull(), format_number(x, 2)).otherwise(F.concat(number, F.lit(" "), unit))
+
+
 def snake(name: Column) -> Column:
     """camelCase to snake_case."""
     return F.lower(F.regexp_replace(name, r"(?<=[a-z0-9])([A-Z])", "_$1"))

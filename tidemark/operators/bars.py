@@ -54,6 +54,15 @@ def coarser(bars_: DataFrame, keys: list[str], start: str, minutes: int) -> Data
     return bars_.groupBy(*keys, slot.alias("slot")).agg(F.min_by("o", start).alias("o"), F.max("h").alias("h"), F.min("l").alias("l"), F.max_by("c", start).alias("c"), F.sum("v").alias("v"), F.sum("val").alias("val"))
 
 
+def table_counts(tables: dict[str, DataFrame], when: str, since: Column, until: Column) -> DataFrame:
+    """How many rows of each table were received from ``since`` to ``until``, both included; a row per table."""
+    out = None
+    for name, rows in tables.items():
+        one = rows.where(F.col(when).between(since, until)).agg(F.count("*").alias("n")).select(F.lit(name).alias("tab"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def verdict(bar: Column, total: Column, minor: float = 0.001) -> Column:
     """p1 if bars exceed the day's total, ok if there is no total, p2 if over ``minor`` of it is missing."""
     b, t = F.coalesce(bar, F.lit(0)), F.coalesce(total, F.lit(0))

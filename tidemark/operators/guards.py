@@ -31,7 +31,7 @@ def judge(counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def share(name: str, part: str, whole: str, most: float, least: int = 0) -> Rule:
     """More than ``most`` of ``whole``; silent under a sample of ``least``."""
-    return Rule(name, f"{whole} >= {least} and {whole} > 0 and {part} > {whole} * {most}")
+    return Rule(name, f"({whole}) >= {least} and ({whole}) > 0 and ({part}) > ({whole}) * {most}")
 
 
 def drop(name: str, now: str, before: str, most: float = 0.02) -> Rule:
@@ -80,6 +80,19 @@ def series_tally(points: DataFrame, key: str, day: str, value: str, limits: Data
     return both.agg(F.count("*").alias("total"), F.count_if(F.col("d").isNull()).alias("failed"), F.count_if(F.col("d").isNotNull() & F.col("v").isNull()).alias("shape"), F.count_if(band).alias("band"), F.count_if(stale & ~band).alias("stale"))
 
 
+def series_state(points: DataFrame, key: str, day: str, value: str, limits: DataFrame, today: Column) -> DataFrame:
+    """Per series of ``limits`` its latest day and value and ``state``: failed (no point), shape (no value), band, stale or ok."""
+    last = points.groupBy(key).agg(F.max_by(value, day).alias("value"), F.max(day).alias("day"))
+    outside = ~F.coalesce(F.col("value").between(F.col("low"), F.col("high")), F.lit(True))
+    state = F.when(F.col("day").isNull(), "failed").when(F.col("value").isNull(), "shape").when(outside, "band").when(F.datediff(today, "day") > F.col("max_age"), "stale").otherwise("ok")
+    return limits.join(last, key, "left").select(key, "day", "value", state.alias("state"))
+
+
+def missing_codes(expected: DataFrame, seen: DataFrame, code: str) -> DataFrame:
+    """Expected codes that a delivery lacks."""
+    return expected.select(code).distinct().join(seen.select(code), code, "left_anti")
+
+
 def sector_mismatch(issuers: DataFrame, industries: DataFrame) -> DataFrame:
     """Issuers whose company type (NH, CK, BH) and industry disagree, either way.
 

@@ -55,6 +55,29 @@ def counters(merged: DataFrame) -> DataFrame:
     return merged.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("inserted", "changed", "same", "kept")])
 
 
+def changed_sample(merged: DataFrame, key: Sequence[str], most: int = 50) -> DataFrame:
+    """Keys of the first inserted or changed rows, as evidence for a run's ledger."""
+    return merged.where(F.col("status").isin("inserted", "changed")).select(*key, "status").orderBy(*key).limit(most)
+
+
+def on_change(checks: DataFrame, fetched: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Snapshots to write, and the ledger of checks after a run.
+
+    ``checks`` has ``issuer``, ``kind``, ``digest``, ``checked_at``, ``changed_at`` and
+    ``found_by``, one row per issuer and kind; ``fetched`` has ``issuer``, ``kind``,
+    ``digest``, ``found_by`` and ``payload``.  A snapshot is written if its digest is
+    new; every check is noted, and ``changed_at`` moves only with the digest.  The
+    first result says ``first``, ``changed`` or ``unchanged`` per fetched row.
+    """
+    before = checks.select("issuer", "kind", F.col("digest").alias("__d"), F.col("changed_at").alias("__c"))
+    both = fetched.join(before, ["issuer", "kind"], "left")
+    result = F.when(F.col("__d").isNull(), "first").when(F.col("__d") != F.col("digest"), "changed").otherwise("unchanged")
+    judged = both.withColumn("result", result)
+    noted = judged.select("issuer", "kind", "digest", now.alias("checked_at"), F.when(F.col("result") == "unchanged", F.col("__c")).otherwise(now).alias("changed_at"), "found_by")
+    kept = checks.join(fetched.select("issuer", "kind"), ["issuer", "kind"], "left_anti").select(*noted.columns)
+    return judged.select(*fetched.columns, "result"), kept.unionByName(noted)
+
+
 def insert_absent(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows of ``new`` whose key ``old`` lacks, one per key: an idempotent claim."""
     return new.dropDuplicates(list(key)).join(old.select(*key), list(key), "left_anti")

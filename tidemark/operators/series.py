@@ -56,11 +56,20 @@ def covered(days: DataFrame, day: str, calendar: DataFrame, have: DataFrame, spa
     return days.join(verdict, F.col(day) == F.col("__d")).drop("__d")
 
 
+def _median(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """``median_gap`` per key by counts of distinct values, so a long series is never one list."""
+    w = Window.partitionBy(key)
+    counts = rows.groupBy(key, value).agg(F.count("*").alias("c"))
+    run = counts.select("*", F.sum("c").over(w.orderBy(value)).alias("run"), F.sum("c").over(w).alias("total"))
+    at = lambda rank: F.min(F.when(F.col("run") >= rank, F.col(value)))
+    return run.groupBy(key).agg(((at(F.floor((F.col("total") + 1) / 2)) + at(F.floor(F.col("total") / 2) + 1)) / 2.0).cast("double").alias("median_gap"))
+
+
 def frequency(points: DataFrame, key: str, day: str) -> DataFrame:
     """``freq`` of a series by the median gap of its distinct days: d up to 4, m up to 45, q up to 120, else y."""
     w = Window.partitionBy(key).orderBy(day)
     gaps = points.select(key, day).distinct().withColumn("gap", F.datediff(day, F.lag(day).over(w)))
-    gap = gaps.groupBy(key).agg(F.median("gap").alias("median_gap"))
+    gap = _median(gaps.where("gap is not null"), key, "gap").join(points.select(key).distinct(), key, "right")
     m = F.col("median_gap")
     return gap.select(key, "median_gap", F.when(m.isNull(), None).when(m <= 4, "d").when(m <= 45, "m").when(m <= 120, "q").otherwise("y").alias("freq"))
 

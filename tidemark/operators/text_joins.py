@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.session import cut
 
 
 def near_duplicates(articles: DataFrame, key: str, source: str, when: str, within: int, least: float) -> DataFrame:
@@ -13,21 +14,25 @@ def near_duplicates(articles: DataFrame, key: str, source: str, when: str, withi
 
     Prefix filtering: of two sets with Jaccard similarity ``least``, each has a shared
     element among its ``n - ceil(least * n) + 1`` rarest.  Candidates meet on such a
-    trigram and a time slot, which bounds what a common trigram can bring together.
-    Titles that name different days don't match; ties go to the smaller key.
+    trigram and a time slot; sizes must be in proportion, and at the first trigram that
+    they share there must be room for enough others after it.  Sets are made once and
+    written.  Titles that name different days don't match; ties go to the smaller key.
     """
-    sets = articles.select(key, source, when, "title", text.trigrams(F.col("title")).alias("t"))
-    rows = sets.select(key, F.explode("t").alias("g"))
+    sets = articles.select(F.col(key).alias("id"), F.col(source).alias("src"), F.col(when).alias("at"), "title", text.trigrams(F.col("title")).alias("t"))
+    sets = cut(sets.withColumn("n", F.size("t")), "near-sets")
+    rows = sets.select("id", F.explode("t").alias("g"), "n")
     rarity = rows.groupBy("g").agg(F.count("*").alias("c"))
-    placed = rows.join(rarity, "g").withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("c", "g"))).withColumn("n", F.count("*").over(Window.partitionBy(key)))
-    rare = placed.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select(key, "g")
-    slot = F.floor(F.col(when) / (within + 1))
-    keyed = rare.join(sets.select(key, source, when), key).withColumn("slot", slot)
-    left = keyed.select(F.col(key).alias("a"), F.col(source).alias("sa"), F.col(when).alias("wa"), "g", F.explode(F.array("slot", F.col("slot") - 1)).alias("slot"))
-    right = keyed.select(F.col(key).alias("b"), F.col(source).alias("sb"), F.col(when).alias("wb"), "g", "slot")
-    pairs = left.join(right, ["g", "slot"]).where((F.col("sa") != F.col("sb")) & (F.col("wb") < F.col("wa")) & (F.col("wa") - F.col("wb") <= within)).select("a", "b").distinct()
-    x = sets.select(F.col(key).alias("a"), F.col("t").alias("ta"), F.col("title").alias("la"))
-    y = sets.select(F.col(key).alias("b"), F.col("t").alias("tb"), F.col("title").alias("lb"))
+    placed = rows.join(rarity, "g").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("c", "g")))
+    rare = placed.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("id", "g", "n", "r")
+    keyed = rare.join(sets.select("id", "src", "at"), "id").withColumn("slot", F.floor(F.col("at") / (within + 1)))
+    side = lambda x, slots: keyed.select(F.col("id").alias(x), *[F.col(c).alias(c + x) for c in ("src", "at", "n", "r")], "g", slots)
+    left, right = side("a", F.explode(F.array("slot", F.col("slot") - 1)).alias("slot")), side("b", F.col("slot"))
+    na, nb = F.col("na"), F.col("nb")
+    sized = F.least(na, nb) >= F.greatest(na, nb) * least - 1e-9
+    room = 1 + F.least(na - F.col("ra"), nb - F.col("rb")) >= (na + nb) * (least / (1 + least)) - 1e-9
+    pairs = left.join(right, ["g", "slot"]).where((F.col("srca") != F.col("srcb")) & (F.col("atb") < F.col("ata")) & (F.col("ata") - F.col("atb") <= within) & sized & room).select("a", "b").distinct()
+    x = sets.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("title").alias("la"))
+    y = sets.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("title").alias("lb"))
     near = pairs.join(x, "a").join(y, "b").withColumn("sim", F.round(text.similarity(F.col("ta"), F.col("tb")), 6))
     near = near.where((F.col("sim") >= least) & text.dates_agree(F.col("la"), F.col("lb")))
     return near.groupBy("a").agg(F.max_by(F.struct("b", "sim"), F.struct(F.col("sim"), -F.col("b"))).alias("m")).select(F.col("a").alias(key), F.col("m.b").alias("other"), F.col("m.sim").alias("sim"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.plans import market, writes
+from tidemark.plans import gates, market, reads, writes
 
 
 def queries() -> dict:
-    assert writes  # registers its queries on import
+    assert gates and reads and writes  # they register their queries on import
     return dict(market.QUERIES)
 
 

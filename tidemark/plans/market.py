@@ -132,7 +132,7 @@ def omo_flow(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders), h AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE l_orderkey % 40 < 7),
-  q AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 10 = 0)
+  q AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders)
   SELECT day, NOT EXISTS (SELECT 1 FROM c WHERE c.d BETWEEN q.day - 5 AND q.day AND c.d NOT IN (SELECT d FROM h)) AND EXISTS (SELECT 1 FROM h WHERE h.d <= q.day - 5) AS complete FROM q""")
 def calendar_coverage(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
@@ -218,7 +218,7 @@ def catalogue_union(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b).where(F.col("name").ilike("%red%") | F.col("name").ilike("%nation_1%"))
 
 
-@query("""WITH e AS (SELECT o_custkey, coalesce(o_orderdate::DATE, DATE '1900-01-01') AS day, o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS a, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS b FROM orders WHERE o_custkey % 4 = 0)
+@query("""WITH e AS (SELECT o_custkey, coalesce(o_orderdate::DATE, DATE '1900-01-01') AS day, o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS a, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS b FROM orders)
   SELECT o_custkey, year(day)::INTEGER AS year, o_orderkey, a, b, count(*) OVER (PARTITION BY o_custkey, year(day)) AS n_rows FROM e
   QUALIFY row_number() OVER (PARTITION BY o_custkey, year(day) ORDER BY (a IS NOT NULL)::INTEGER + (b IS NOT NULL)::INTEGER DESC, o_orderkey DESC) = 1""")
 def event_dedupe_best(spark: SparkSession, d: str) -> DataFrame:
@@ -360,8 +360,11 @@ def available_range(spark: SparkSession, d: str) -> DataFrame:
 _GRAM = """list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(strip_accents(lower(title)), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"""
 
 
-@query(f"""WITH a AS (SELECT doc_id, source, split_part(text, chr(10), 1) AS title FROM documents), g AS (SELECT doc_id, source, {_GRAM} AS t FROM a WHERE length(title) >= 30),
-  p AS (SELECT x.doc_id, y.doc_id AS other, round(len(list_intersect(x.t, y.t)) / (len(x.t) + len(y.t) - len(list_intersect(x.t, y.t))), 6) AS sim FROM g x JOIN g y ON x.source <> y.source AND y.doc_id < x.doc_id AND x.doc_id - y.doc_id <= 48)
+_DAYS = """list_sort(list_distinct(list_transform(regexp_extract_all(title, '\\b[0-9]{1,2}[/-][0-9]{1,2}\\b'), lambda d: replace(d, '-', '/'))))"""
+
+
+@query(f"""WITH a AS (SELECT doc_id, source, split_part(text, chr(10), 1) AS title FROM documents), g AS (SELECT doc_id, source, {_GRAM} AS t, {_DAYS} AS days FROM a WHERE length(title) >= 30),
+  p AS (SELECT x.doc_id, y.doc_id AS other, round(len(list_intersect(x.t, y.t)) / (len(x.t) + len(y.t) - len(list_intersect(x.t, y.t))), 6) AS sim FROM g x JOIN g y ON x.source <> y.source AND y.doc_id < x.doc_id AND x.doc_id - y.doc_id <= 48 AND (x.days = [] OR y.days = [] OR x.days = y.days))
   SELECT doc_id, other, sim FROM p WHERE sim >= 0.6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, other) = 1""")
 def near_dup(spark: SparkSession, d: str) -> DataFrame:
     """Best earlier article of another source within 48 hours (an id is an hour) whose title is similar."""

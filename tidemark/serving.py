@@ -352,7 +352,7 @@ class Warehouse:
 
 
 def _plain(query: str) -> str:
-    return query.translate(str.maketrans(text.ACCENTED + "đĐ", text.PLAIN + "dD"))
+    return query.translate(str.maketrans(text.ACCENTED + text.STRUCK, text.PLAIN + text.UNSTRUCK))
 
 
 def reference(topic: str, folder: str) -> Answer:

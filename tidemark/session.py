@@ -1,8 +1,14 @@
-"""Sessions with the settings the engine relies on."""
+"""Sessions with the settings the engine relies on, and tables that end a lineage."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import getpass
+import os
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTC sessions, ANSI casts, adaptive execution with skew handling.
 SETTINGS = {
@@ -19,3 +25,31 @@ def session(name: str = "tidemark", **more: str) -> SparkSession:
     for k, v in (SETTINGS | more).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
+
+    A cluster names it in ``spark.checkpoint.dir``; without that setting an operator
+    refuses to run there, as each machine would write to a disk of its own.  Only a
+    session on one machine (``local[…]``: tests, a laptop) gets a local folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+        named = "file://" + os.path.join(tempfile.gettempdir(), f"tidemark-{getpass.getuser()}")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and return a scan of what was written.
+
+    The lineage ends there, so a lost executor costs a re-read and never a
+    recomputation, and the optimizer knows the size of the result.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

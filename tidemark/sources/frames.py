@@ -8,11 +8,14 @@ rows that break a rule go to quarantine with a reason and are never dropped sile
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numbers
 from tidemark.operators import dedup, reshape
+from tidemark.sources import snapshots
 
 EVENTS = ("t", "o", "i", "idx", "ptm")
 # The index codes and floors that are subscribed.
@@ -34,6 +37,18 @@ def read_capture(spark: SparkSession, path: str, since_ms: int | None = None, un
     return rows if until_ms is None else rows.where(F.col("received_ms") <= until_ms)
 
 
+def write_capture(packets: DataFrame, path: str) -> None:
+    """Append capture lines as gzipped JSON in a folder per local day and hour."""
+    here = F.from_utc_timestamp(dates.from_millis(F.col("received_ms")), dates.ZONE)
+    rows = packets.select(F.col("received_ms").alias("r"), F.col("packet").alias("p"), F.date_format(here, "yyyyMMdd").alias("day"), F.date_format(here, "HH").alias("hour"))
+    rows.write.mode("append").partitionBy("day", "hour").option("compression", "gzip").json(path)
+
+
+def prune_capture(spark: SparkSession, path: str, today: date, keep: int = 30) -> list[str]:
+    """Delete the days of a capture that are older than ``keep`` days; returns their names."""
+    return snapshots.drop_partitions(spark, path, "day", f"{today - timedelta(days=keep):%Y%m%d}")
+
+
 def records(packets: DataFrame) -> DataFrame:
     """``received_ms``, ``event``, ``pos``, ``fields`` (string map) of the known events' records."""
     body = F.regexp_extract("packet", r"(?s)^42\d*(\[.*\])$", 1)

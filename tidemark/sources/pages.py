@@ -12,12 +12,11 @@ import unicodedata
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from decimal import Decimal
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,99 +122,89 @@ def parse_html(page: str) -> Element:
 RESULT_TITLE, KIND_HEADER = "KẾT QUẢ ĐẤU THẦU THỊ TRƯỜNG MỞ", "Loại hình giao dịch"
 OPERATIONS = {"Mua kỳ hạn": "reverse_repo", "Bán kỳ hạn": "repo", "Bán hẳn": "outright_sale"}
 BILLION = 10**9
-_LONG_DATE, _SHORT_DATE = re.compile(r"Ngày\s*(\d{1,2})\s*tháng\s*(\d{1,2})\s*năm\s*(\d{4})"), re.compile(re.escape(RESULT_TITLE) + r"\s*\((\d\d)\.(\d\d)\.(\d\d)\)")
+_LONG_DATE, _SHORT_DATE = r"Ngày\s*(\d{1,2})\s*tháng\s*(\d{1,2})\s*năm\s*(\d{4})", rf"{RESULT_TITLE}\s*\((\d\d)\.(\d\d)\.(\d\d)\)"
 
 
 class Refused(ValueError):
     """A page that isn't what its reader knows."""
 
 
-def number(s: str) -> Decimal:
-    if not re.fullmatch(r"\s*-?(\d{1,3}(\.\d{3})+|\d+)(,\d+)?\s*", s):
-        raise Refused(f"no number: {s!r}")
-    return Decimal(s.strip().replace(".", "").replace(",", "."))
-
-
-def auction_rows(page: str) -> list[dict]:
-    """Rows of one results page, totals checked; any unknown row, group or header is refused."""
+def result_cells(page: str) -> list[tuple[int, list[str], str]]:
+    """A results page as plain rows: at -1 its words and the words of its date elements, then the
+    non-empty rows of the first table with the header word, as cell texts with the row's class."""
     root = parse_html(page)
-    words = root.text()
-    if RESULT_TITLE not in words:
-        raise Refused("no title")
-    if m := next((m for e in root.select(".ls01-date") if (m := _LONG_DATE.search(e.text()))), None):
-        day = f"{m[3]}-{int(m[2]):02d}-{int(m[1]):02d}"
-    elif m := _SHORT_DATE.search(words):
-        day = f"20{m[3]}-{m[2]}-{m[1]}"
-    else:
-        raise Refused("no session date")
-    table = next((t for t in root.select("table") if KIND_HEADER in t.text()), None)
-    if table is None:
-        raise Refused("no table")
-    out, totals, group, header = [], {}, None, False
-    for tr in table.select("tr"):
-        cells = [c.text() for c in tr.kids if isinstance(c, Element) and c.tag in ("td", "th")]
-        if not any(cells):
-            continue
-        classes = tr.attrs.get("class", "").split()
-        if KIND_HEADER in " ".join(cells):
-            if len(cells) != 4:
-                raise Refused(f"{len(cells)} columns")
-            header = True
-        elif "ls01-group" in classes or cells[0] in OPERATIONS:
-            group = OPERATIONS.get(cells[0])
-            if group is None:
-                raise Refused(f"unknown group {cells[0]!r}")
-        elif group is None:
-            raise Refused(f"a row before any group: {cells!r}")
-        elif "ls01-total" in classes or cells[0].lstrip("- ").startswith("Tổng"):
-            if len(cells) > 2 and cells[2]:
-                totals[group] = number(cells[2])
-        elif tenor := re.search(r"(\d+)\s*ngày", cells[0]):
-            took = [int(x) for x in cells[1].split("/")] if len(cells) > 1 and "/" in cells[1] else [None, None]
-            out.append({"session_date": day, "op_type": group, "tenor_days": int(tenor[1]), "participants": took[0], "winners": took[1], "volume_bn": number(cells[2]), "rate": number(cells[3]) if len(cells) > 3 and cells[3] else None})
-        else:
-            raise Refused(f"unknown row {cells!r}")
-    if not header or not out:
-        raise Refused("no header" if not header else "no rows")
-    for g, total in totals.items():
-        own = [r["volume_bn"] for r in out if r["op_type"] == g]
-        if own and sum(own) != total:
-            raise Refused(f"rows of {g} don't add up to their total")
-    return out
+    tables = (t for t in root.select("table") if KIND_HEADER in t.text())
+    rows = [([c.text() for c in tr.kids if isinstance(c, Element) and c.tag in ("td", "th")], tr.attrs.get("class", "")) for t in [next(tables, Element("", {}))] for tr in t.select("tr")]
+    head = [root.text(), "\n".join(e.text() for e in root.select(".ls01-date"))]
+    return [(-1, head, ""), *((i, cells, mark) for i, (cells, mark) in enumerate(r for r in rows if any(r[0])))]
 
 
-_AUCTION = "page_id string, session_date string, op_type string, tenor_days int, participants int, winners int, volume_bn string, rate string, error string"
+def _session_date(words: Column, dated: Column) -> Column:
+    """The day of a date element in long form, else the short form after the title; null if there is none."""
+    part = lambda x, pattern, i: F.regexp_extract(x, pattern, i)
+    long = F.concat_ws("-", part(dated, _LONG_DATE, 3), F.lpad(part(dated, _LONG_DATE, 2), 2, "0"), F.lpad(part(dated, _LONG_DATE, 1), 2, "0"))
+    short = F.concat(F.lit("20"), F.concat_ws("-", *[part(words, _SHORT_DATE, i) for i in (3, 2, 1)]))
+    return F.coalesce(F.when(dated.rlike(_LONG_DATE), long), F.when(words.rlike(_SHORT_DATE), short)).try_cast("date")
 
 
 def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Merged auction rows of ``page_id``, ``body`` pages, and refused pages with their ``error``.
 
-    Rows of one tenor are two rounds of a day and are merged: volumes and, where all
-    are known, counts add up; rates that differ are refused.
+    Pages are read into cells by a function; what a row is, the group that it stands
+    under, totals and refusals are columns, windows within a page and aggregations.
+    Any unknown row, group or header refuses its page, and so does a group whose rows
+    don't add up to its published total.  Rows of one tenor are two rounds of a day
+    and are merged: volumes and, where all are known, counts add up; rates that
+    differ are refused.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [x.split()[0] for x in _AUCTION.split(", ")]
         for part in parts:
-            out = []
-            for r in part.itertuples(index=False):
-                try:
-                    out += [{"page_id": r.page_id} | x for x in auction_rows(r.body)]
-                except (Refused, ValueError) as e:
-                    out.append({"page_id": r.page_id, "error": str(e)})
-            frame = pd.DataFrame(out, columns=columns, dtype=object)
-            for c in ("volume_bn", "rate"):  # as text: exact, whatever their places
-                frame[c] = frame[c].map(lambda x: None if x is None or x != x else str(x))
-            yield frame.astype(object).where(frame.notna(), None)
-
-    rows = pages.select("page_id", "body").mapInPandas(run, _AUCTION)
-    bad = rows.where("error is not null").select("page_id", "error")
-    typed = rows.withColumns({c: F.col(c).try_cast("decimal(28,10)") for c in ("volume_bn", "rate")})
-    merged = reshape.merge_same(typed.where("error is null"), ["page_id", "session_date", "op_type", "tenor_days"], ["volume_bn"], ["participants", "winners"], "rate")
-    clash = merged.where("clash").select("page_id", F.lit("rows of one tenor differ in rate").alias("error")).distinct()
-    good = merged.where("not clash").join(clash, "page_id", "left_anti")
-    typed = good.select("page_id", F.to_date("session_date").alias("session_date"), "op_type", "tenor_days", "participants", "winners", (F.col("volume_bn") * BILLION).cast("decimal(38,2)").alias("volume_vnd"), F.col("rate").alias("rate_pct"))
-    return typed, bad.unionByName(clash)
+            yield pd.DataFrame([(r.page_id, *row) for r in part.itertuples(index=False) for row in result_cells(r.body or "")], columns=["page_id", "at", "cells", "mark"])
+
+    cells = pages.select(F.col("page_id").cast("string").alias("page_id"), "body").mapInPandas(run, "page_id string, at int, cells array<string>, mark string")
+    cell = lambda i: F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
+    label, filled = cell(0), lambda i: F.when(cell(i) != "", cell(i))
+    names = F.create_map(*[F.lit(x) for kv in OPERATIONS.items() for x in kv])
+    marked = lambda c: F.array_contains(F.split("mark", r"\s+"), c)
+    # the first rule that holds says what a row is
+    rules = {
+        "page": F.col("at") < 0,
+        "header": F.exists("cells", lambda c: c.contains(KIND_HEADER)),
+        "group": marked("ls01-group") | label.isin(*OPERATIONS),
+        "total": marked("ls01-total") | label.rlike("^[- ]*Tổng"),
+        "tenor": label.rlike(r"\d\s*ngày"),
+    }
+    what = F.coalesce(*[F.when(rule, F.lit(name)) for name, rule in rules.items()], F.lit("odd"))
+    rows = cells.select("*", what.alias("what"))
+    within = Window.partitionBy("page_id").orderBy("at")
+    named = F.last(F.when(F.col("what") == "group", F.coalesce(names[label], F.lit("?"))), ignorenulls=True).over(within)
+    rows = rows.select("*", F.when(F.col("what") != "page", named).alias("op_type"), text.parse_number(filled(2)).alias("volume_bn"), text.parse_number(filled(3)).alias("rate"))
+    is_ = lambda *kinds: F.col("what").isin(*kinds)
+    error = (
+        F.when(is_("page") & ~cell(0).contains(RESULT_TITLE), "no title")
+        .when(is_("page") & _session_date(cell(0), cell(1)).isNull(), "no session date")
+        .when(is_("header") & (F.size("cells") != 4), F.concat(F.size("cells").cast("string"), F.lit(" columns")))
+        .when(is_("group") & (F.col("op_type") == "?"), F.concat(F.lit("unknown group "), label))
+        .when(is_("total", "tenor", "odd") & F.col("op_type").isNull(), F.concat(F.lit("a row before any group: "), label))
+        .when(is_("odd"), F.concat(F.lit("unknown row "), label))
+        .when(is_("tenor") & F.col("volume_bn").isNull() | is_("total") & filled(2).isNotNull() & F.col("volume_bn").isNull() | is_("tenor") & filled(3).isNotNull() & F.col("rate").isNull(), F.concat(F.lit("no number: "), F.concat_ws(" ", "cells")))
+    )
+    rows = rows.withColumn("error", error)
+    per = rows.groupBy("page_id").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("at"))).alias("first"), F.bool_or(is_("header")).alias("header"), F.bool_or(is_("tenor")).alias("rows"), F.max(F.when(is_("page"), _session_date(cell(0), cell(1)))).alias("session_date"))
+    sums = rows.groupBy("page_id", "op_type").agg(F.sum(F.when(is_("tenor"), F.col("volume_bn"))).alias("summed"), F.max_by(F.when(is_("total"), F.col("volume_bn")), F.when(is_("total") & F.col("volume_bn").isNotNull(), F.col("at"))).alias("total"))
+    off = sums.where("summed <> total").groupBy("page_id").agg(F.concat(F.lit("rows don't add up to their total: "), F.min("op_type")).alias("off"))
+    tenors = rows.where("what = 'tenor' and error is null")
+    took = lambda i: F.when(cell(1).contains("/"), F.get(F.split(cell(1), "/"), F.lit(i)).try_cast("int"))
+    typed = tenors.select("page_id", "op_type", F.regexp_extract(label, r"(\d+)\s*ngày", 1).cast("int").alias("tenor_days"), took(0).alias("participants"), took(1).alias("winners"), F.col("volume_bn").cast("decimal(28,10)").alias("volume_bn"), F.col("rate").cast("decimal(28,10)").alias("rate"))
+    merged = reshape.merge_same(typed, ["page_id", "op_type", "tenor_days"], ["volume_bn"], ["participants", "winners"], "rate")
+    clash = merged.where("clash").select("page_id", F.lit("rows of one tenor differ in rate").alias("clash")).distinct()
+    judged = per.join(off, "page_id", "left").join(clash, "page_id", "left")
+    gone = F.when(~F.col("header"), "no header").when(~F.col("rows"), "no rows")
+    judged = judged.select("page_id", "session_date", F.coalesce("first", gone, "off", "clash").alias("error"))
+    good = merged.join(judged.where("error is null"), "page_id")
+    good = good.select("page_id", "session_date", "op_type", "tenor_days", F.col("participants").cast("int").alias("participants"), F.col("winners").cast("int").alias("winners"), (F.col("volume_bn") * BILLION).cast("decimal(38,2)").alias("volume_vnd"), F.col("rate").alias("rate_pct"))
+    return good, judged.where("error is not null").select("page_id", "error")
 
 
 SEED = "session_date date, tenor_days int, participants int, winners int, volume_bn decimal(20,6), rate decimal(12,8)"

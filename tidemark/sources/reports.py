@@ -34,6 +34,12 @@ def screener_facts(pages: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return reshape.first_block(codes, ["ticker", "exchange", "trading_date"], BLOCKS)
 
 
+def mapped(rows: DataFrame, directory: DataFrame, key: tuple[str, ...] = ("ticker", "exchange")) -> tuple[DataFrame, DataFrame]:
+    """Rows with their ``security_id``, and the distinct keys that the directory lacks."""
+    known = directory.select(*key, "security_id")
+    return rows.join(known, list(key)), rows.select(*key).distinct().join(known, list(key), "left_anti")
+
+
 def stage_key(event_type: Column, item: Column) -> Column:
     """The part of an event's key that its type adds; null in a part is written as the source does."""
     part = lambda k: F.coalesce(item[k], F.lit("None"))

@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+class Conflict(RuntimeError):
+    """Someone else has replaced the table since it was read."""
+
+
 class Table:
     """A directory of ``v=N`` versions and a one-row ``current`` table per swap."""
 
@@ -33,13 +37,26 @@ class Table:
         have = self.versions()
         return self.spark.read.parquet(f"{self.path}/v={have[-1]}") if have else None
 
-    def replace(self, rows: DataFrame, by: str | None = None, keep: int = 2) -> int:
-        """Write the next version (partitioned ``by`` a column), then drop all but ``keep``."""
+    def replace(self, rows: DataFrame, by: str | None = None, keep: int = 2, base: int | None = None) -> int:
+        """Write the next version (partitioned ``by`` a column), then drop all but ``keep``.
+
+        The version's number is claimed first by a file that only one writer can create,
+        so no two writers share a path.  ``base`` is the version that ``rows`` were made
+        from (0: none): if that isn't the latest any more, or its successor is claimed,
+        :class:`Conflict` is raised and nothing is written.
+        """
         have = self.versions()
         new = (have[-1] if have else 0) + 1
+        fs, path = self._fs()
+        if base is not None and base != new - 1:
+            raise Conflict(f"version {new - 1} isn't {base}")
+        fs.mkdirs(path(f"{self.path}/claims"))
+        while not fs.createNewFile(path(f"{self.path}/claims/{new}")):
+            if base is not None:
+                raise Conflict(f"version {new} is claimed")
+            new += 1
         writer = rows.write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(f"{self.path}/v={new}")
-        fs, path = self._fs()
         for old in [*have, new][:-keep]:
             fs.delete(path(f"{self.path}/v={old}"), True)
         return new

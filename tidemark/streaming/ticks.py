@@ -83,6 +83,21 @@ def minute_bars(spark: SparkSession, root: str) -> DataFrame:
     return bars.merge(spark.read.parquet(f"{root}/bars"), ["symbol", "slot"])
 
 
+def boot_state(boot: DataFrame, fresh: DataFrame, symbols: DataFrame) -> DataFrame:
+    """State to start from: the directory's columns overlaid by fresh ones, for symbols of the catalogue only.
+
+    ``boot`` and ``fresh`` have ``symbol`` and the map ``state``; a fresh symbol replaces its row.
+    """
+    rows = fresh.select("symbol", "state").unionByName(boot.select("symbol", "state").join(fresh.select("symbol"), "symbol", "left_anti"))
+    return rows.join(symbols.select("symbol"), "symbol", "left_semi")
+
+
+def published(event: str, deltas: DataFrame) -> DataFrame:
+    """What subscribers get per delta: ``channel`` and ``message`` (JSON of the symbol and the columns sent)."""
+    message = F.to_json(F.map_concat(F.create_map(F.lit("symbol"), F.col("symbol")), F.map_from_entries(F.array_sort(F.map_entries("delta")))))
+    return deltas.select(F.concat_ws(":", F.lit("rt:pub"), F.lit(event), "symbol").alias("channel"), message.alias("message"))
+
+
 def latest_state(table: snapshots.Table, deltas: DataFrame, now_ms: int, ttl_ms: int = 86_400_000) -> int:
     """Merge deltas (``symbol``, ``ms``, ``delta``) into the state table: newer columns win, old symbols go.
 
