@@ -43,13 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of what was written.
+def cut(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """Write ``df`` to the shared folder (with writer ``options``) and return a scan of what was written.
 
     The lineage ends there, so a lost executor costs a re-read and never a
     recomputation, and the optimizer knows the size of the result.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

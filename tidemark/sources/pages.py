@@ -47,17 +47,20 @@ class Element:
         return " ".join(" ".join(self._runs()).split())
 
     def _runs(self) -> Iterator[str]:
-        for k in self.kids:
+        todo = list(reversed(self.kids))
+        while todo:
+            k = todo.pop()
             if isinstance(k, str):
                 yield k
             elif k.tag not in ("script", "style", "noscript"):
-                yield from k._runs()
+                todo += reversed(k.kids)
 
     def walk(self) -> Iterator[Element]:
-        for k in self.kids:
-            if isinstance(k, Element):
-                yield k
-                yield from k.walk()
+        todo = [k for k in reversed(self.kids) if isinstance(k, Element)]
+        while todo:
+            k = todo.pop()
+            yield k
+            todo += [x for x in reversed(k.kids) if isinstance(x, Element)]
 
     def matches(self, selector: str) -> bool:
         """One compound selector: tag, ``#id``, ``.class``, ``[attr^=prefix]``."""
