@@ -89,3 +89,37 @@ def test_whole_names(spark):
         assert t.startswith("we saw Mr. ") and t.endswith(" there, then left") and not any(x in t for x in re.findall(r"\w\w+", n)), (n, t)
         assert len(t.split()) == len(n.split()) + 6
     assert "Donald" not in got[-1] and "'s dog. Then " in got[-1] and got[-1].endswith(" Left")
+
+
+def test_names_are_replaced_wherever_their_text_says_them(spark):
+    got = replaced(spark, "Mr. John Smith arrived. Smith said hello. John left; Smithson and Johnny stayed.", "Smith is here too", "Ask Frau Dr. Anna-Lena O'Neil: O'Neil, Anna-Lena.")
+    assert not re.search(r"\b(Smith|John)\b", got[0]) and "Smithson and Johnny" in got[0] and got[1] == "Smith is here too"
+    first, last = re.match(r"Mr\. (\w+) (\w+) arrived", got[0]).groups()
+    assert f"{last} said hello. {first} left" in got[0] and "Neil" not in got[2] and "Anna" not in got[2]
+
+
+def test_more_kinds(spark):
+    said = ["Tel 0171 1234567", "01 23 45 67 89", "call 555-3824 now", "from 2001:db8:85a3::8a2e:370:7334 on", "fe80::1ff:fe23:4567:890a up", "2001:0db8:0000:0000:0000:ff00:0042:8329", "to jose.garcía@exämple.de"]
+    got = replaced(spark, *said, "std::vector<int> a::b, face::bed, at 10:30:45, ratio 3:4", "pages 555-3824 of 1000")
+    for a, b in zip(said, got, strict=False):
+        assert a != b and len(a) == len(b) and not set(re.findall(r"[0-9]{4,}|garc|db8|exämple", a)) & set(re.findall(r"[0-9]{4,}|garc|db8|exämple", b)), (a, b)
+    assert got[7].startswith("std::vector<int> a::b, face::bed, at 10:30:45") and got[8] == "pages 555-3824 of 1000"
+
+
+def mod97(x):
+    x = x.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+
+def test_account_numbers_keep_their_check_digits(spark):
+    given = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "DE88370400440532013000"]
+    got = replaced(spark, *given)
+    assert [mod97(x) == 1 for x in got] == [mod97(x) == 1 for x in given] == [True, True, False]
+    for a, b in zip(given, got, strict=True):
+        assert a != b and a[:2] == b[:2] and re.fullmatch(re.sub("[A-Z]", "[A-Z]", re.sub("[0-9]", "[0-9]", a)), b)
+
+
+def test_surrogates_differ_across_kinds(spark):
+    found = spark.createDataFrame([("ssn", f"{i:03d}-00-0000", None) for i in range(300)] + [("other", f"{i:03d}-00-0001", None) for i in range(300)], "kind string, value string, gender string")
+    got = surrogates.assign(found).collect()
+    assert len(got) == 600 == len({r.surrogate for r in got}) and not {r.surrogate for r in got} & {r.value for r in got}

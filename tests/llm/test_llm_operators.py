@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import components, media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, warc, wrappers
-from tidemark.llm.html_blocks import tree
+from tidemark.llm.html_blocks import main_part, tree
 from tidemark.llm.queries import MODEL, queries
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
@@ -302,6 +302,19 @@ def test_encoding(spark, odd):
     assert pieces.encode(df.limit(0), model).count() == 0
 
 
+def test_long_chunks_without_a_blank(spark):
+    model = pieces.Model.load(MODEL)
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("etaoinshrdlu", k=100_000)), "".join(chr(rng.randrange(0x3041, 0x3094)) + rng.choice(["", "☃", "𝄞"]) for _ in range(20_000))]
+    some = texts[0][:1500]
+    df = spark.createDataFrame(list(enumerate([*texts, some])), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pieces.digests(df, model).collect()}
+    assert all(r.exact and r.n_chunks == 1 for r in rows.values()) and rows[0].n_tokens > 20_000
+    table = {p: (i, s) for p, i, s in model.matching}
+    got = pieces.gather(pieces.encode(df.where("doc_id = 2"), model)).first().ids
+    assert got == brute_viterbi("▁" + some, table, (0, model.unknown_score))
+
+
 def test_words_as_the_library_does(spark):
     import sentencepiece
 
@@ -358,10 +371,54 @@ def test_media_columns(spark, odd):
         want[i, len((t or "").encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:])] += 1
     assert Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in got) == want
     bad = spark.createDataFrame([(b"nonsense!",), (None,)], "media binary")
-    assert all(r.error and r.codec is None for r in media.features(bad).collect())
+    assert all(r.error and r.tracks is None for r in media.features(bad).collect())
     assert media.features(media.store(odd.limit(0))).count() == 0
 
 
+def box(kind, *body):
+    return (8 + sum(map(len, body))).to_bytes(4, "big") + kind + b"".join(body)
+
+
+def u(*xs):
+    return b"".join(x.to_bytes(4, "big") for x in xs)
+
+
+def test_broken_containers_are_errors_not_crashes():
+    rng = random.Random(6)
+    base = media.pack(rng.randbytes(192 * 70))
+    seen = Counter()
+    for _ in range(3000):
+        data = bytearray(base)
+        for _ in range(rng.randrange(1, 4)):
+            data[rng.randrange(800)] ^= 1 << rng.randrange(8)
+        found = media._features(bytes(data[: rng.randrange(len(data))] if rng.random() < 0.3 else data), True)
+        seen[found["error"] is None] += 1
+    assert min(seen.values()) > 500
+    nested = b""
+    for _ in range(1200):
+        nested = box(b"moov", nested)
+    trak = lambda *stbl: box(b"moov", box(b"trak", box(b"mdia", box(b"minf", box(b"stbl", *stbl)))))
+    cases = [nested, box(b"moov", box(b"trak", box(b"mdia", box(b"mdhd")))), trak(box(b"stsz", u(0, 7, 2**32 - 1))), trak(box(b"stsz", u(0, 1, 2)), box(b"stco", u(0, 1, 0)), box(b"stsc", u(0, 2, 1, 1, 1, 9, 1, 1))), trak(box(b"stsz", u(0, 1, 2)), box(b"stco", u(0, 1, 0)), box(b"stsc", u(0, 1, 1, 2**32 - 1, 1)), box(b"stss", u(0, 1, 3)))]
+    for data in cases:
+        assert media._features(data, True)["error"]
+
+
+def test_all_tracks_compact_sizes_and_fragments():
+    stbl = lambda codec, *rest: box(b"stbl", box(b"stsd", u(0, 1), box(codec, bytes(78))), *rest)
+    trak = lambda n, *parts: box(b"trak", box(b"tkhd", u(0, 0, 0, n)), box(b"mdia", box(b"mdhd", u(0, 0, 0, 10, 50)), box(b"minf", *parts)))
+    sound = trak(1, stbl(b"mp4a", box(b"stz2", u(0, 4, 3), bytes([0x12, 0x30])), box(b"stsc", u(0, 1, 1, 3, 1)), box(b"stco", u(0, 1, 0))))
+    video = trak(7, stbl(b"avc1"))
+    moov = box(b"moov", sound, video, box(b"mvex", box(b"trex", u(0, 7, 1, 2, 9, 0x10000))))
+    trun = box(b"trun", u(0x205, 3, 100, 0, 4, 5, 6))  # sizes, data offset, flags of the first
+    moof = box(b"moof", box(b"traf", box(b"tfhd", u(0x20000, 7)), trun, box(b"trun", u(0, 2))))
+    data = moov + moof + box(b"mdat", bytes(200))
+    a, v = media.index(data)
+    assert (a.codec, a.sizes.tolist(), a.offsets.tolist(), a.keyframes()) == ("mp4a", [1, 2, 3], [0, 1, 3], [(0, 1), (1, 2), (3, 3)])
+    at = len(moov) + 100
+    assert (v.codec, v.sizes.tolist(), v.offsets.tolist(), v.keyframes()) == ("avc1", [4, 5, 6, 9, 9], [at, at + 4, at + 9, at + 15, at + 24], [(at, 4)])
+    assert v.seconds == (50 + 5 * 2) / 10 and media._features(data, False)["tracks"][1]["codec"] == "avc1"
+
+
 # --- WARC ----------------------------------------------------------------------
 
 
@@ -385,8 +442,9 @@ def test_warc(spark):
     assert sorted(r.page_id for r in warc.read(blocks, some).collect()) == [3, 5, 5, 39]
     wide, narrow = warc.ranges(index, gap=1 << 20).count(), warc.ranges(index.where("page_id % 5 = 0"), gap=0).count()
     assert wide == index.select("archive", "block").distinct().count() and narrow > 3
-    whole = b"".join(r.data for r in blocks.where("archive = (select min(archive) from {b})", b=blocks).orderBy("at").collect()) if False else blocks.orderBy("archive", "at").first().data
-    assert zlib.decompress(whole, 31).startswith(b"WARC/1.1\r\n")
+    assert zlib.decompress(blocks.orderBy("archive", "at").first().data, 31).startswith(b"WARC/1.1\r\n")
+    plan = warc.read(blocks, some)._jdf.queryExecution().toString()
+    assert re.search(r"(In|EqualTo)\(archive", plan) and re.search(r"(In|EqualTo)\(at", plan)  # the scan skips other blocks
     assert warc.archive(pages.limit(0))[1].count() == 0
     assert all(r.record_type == "response" for r in warc.archive(pages, least=10**6)[1].collect())
 
@@ -418,6 +476,35 @@ def test_tree_matching_is_largest():
         assert len(pairs) == brute_match(a, b)
 
 
+def test_long_sibling_lists_and_deep_pages_are_matched_whole():
+    rng = random.Random(8)
+    for n, m in ((700, 400), (300, 900)):
+        x, y = ([rng.choice("abcdefgh") for _ in range(k)] for k in (n, m))
+        made = lambda tags: wrappers.Shape(wrappers.skeleton(tree("<body>" + "".join(f"<x-{t}></x-{t}>" for t in tags)))[0])
+        last = [0] * (m + 1)
+        for a in x:
+            row = [0]
+            for k, b in enumerate(y):
+                row.append(max(last[k + 1], row[k], last[k] + (a == b)))
+            last = row
+        assert len(wrappers.align(made(x), made(y))) == last[-1] + 2
+    deep = tree("<body>" + "<div>" * 5000 + "down here")
+    shape = wrappers.Shape(wrappers.skeleton(deep)[0])
+    assert len(wrappers.align(shape, shape)) == 5002 and wrappers.blocks(main_part(deep)) == ["down here"]
+
+
+def test_regions_stand_in_for_tags(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    # tags and names that say nothing of their roles
+    bare = F.replace(F.regexp_replace("html", r"<(/?)(?:nav|footer|article|header|aside)\b", "<$1div"), F.lit(' class="ad"'), F.lit(""))
+    hosts = pages.select("page_id", wrappers._host(F.col("url")).alias("host"), "html").groupBy("host").agg(F.count_distinct("html").alias("n"), F.collect_list("page_id").alias("ids")).collect()
+    enough = {i for h in hosts if h.n >= 5 for i in h.ids}
+    want = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    with_, without = ({r.page_id: r.text for r in wrappers.extract(pages.withColumn("html", bare), w).collect()} for w in (wrappers.Wrapper(), wrappers.Wrapper(few=10**9, least=10**9)))
+    same = sum(with_[i] == want[i] for i in enough)
+    assert len(enough) > 100 and same >= 0.97 * len(enough) and not any(without[i] == want[i] for i in enough)
+
+
 def test_main_text(spark):
     page = """<html><head><title>t</title></head><body><header><h1>Site</h1></header><div id="main-content"><h2>T &amp;amp; x&nbsp;y</h2>intro <b>bold</b>
       text<ul><li>one<li>two</ul><div class="comments"><p>I hate</p></div><div class="cookie-notice">c</div><form>f</form><p>end<br>line</p><table><tr><td>a<td>b</table></div><aside>s</aside><script>var x="</p>";</script><!-- n --></body>"""
@@ -460,7 +547,9 @@ def test_quotes(spark):
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("own", F.lit(1))
     linked = quotes.link(df).persist()
-    got = {(r.conv_id, r.turn): tuple(r)[3:] for r in linked.collect()}
+    got = {(r.conv_id, r.turn): tuple(r)[3:5] + tuple(r)[6:] for r in linked.collect()}
+    quoted = {(r.conv_id, r.turn): [tuple(q) for q in r.quoted] for r in linked.collect()}
+    assert quoted[1, 2] == [(1, 1, 1), (2, 1, 0)] and quoted[1, 1] == [(1, 1, 0)] and quoted[3, 1] == []
     assert got[1, 0] == (rows[0][3], 0, None, None, 1, 0, 0) and got[1, 1] == ("I am fine thank you.", 1, 1, 0, 1, 0, 1)
     assert got[1, 2] == ("Great to hear that", 2, 1, 1, 1, 0, 2) and got[2, 0] == ("quoted across now ok", 1, 1, 1, 1, 0, 2)
     assert got[3, 0] == ("Deep one here now", 1, 1, 2, 1, 0, 3) and got[3, 1] == ("fine", 1, None, None, 3, 1, 0) and got[None, 5][:3] == ("", 1, None)
@@ -470,5 +559,14 @@ def test_quotes(spark):
     assert quotes.link(df.limit(0)).count() == 0
 
 
+def test_a_deeper_quote_names_the_thread(spark):
+    long = "\n".join(f"line {i} of the text" for i in range(20000))
+    rows = [(1, 0, "u", "the very first words here"), (1, 1, "u", "what came after them"), (1, 2, "u", "> what was changed since then\n>> the very first words here\n\nok then my friend"), (2, 0, "u", long), (2, 1, "u", "\n".join("> " + x for x in long.split("\n")) + "\nso long a quote")]
+    got = {(r.conv_id, r.turn): r for r in quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    r = got[1, 2]
+    assert (r.reply_conv, r.reply_turn, r.depth, [tuple(q) for q in r.quoted]) == (1, 0, 1, [(2, 1, 0)]) and r.content == "ok then my friend"
+    assert (got[2, 1].reply_turn, got[2, 1].n_quotes, got[2, 1].content) == (0, 1, "so long a quote")
+
+
 def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 11))

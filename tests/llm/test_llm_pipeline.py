@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as c
-from tidemark.llm import quality, simhash
+from test_advice_r01 import brute_kept
+from tidemark.llm import quality
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -29,8 +32,23 @@ def test_decisions_take_effect(spark):
     steps = [d for _, d in apply(spark, docs)]
     keep = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
     assert {r.doc_id for r in steps[0].collect()} == keep
-    one = {r.doc_id for r in simhash.groups(steps[0]).where("doc_id = component_id").collect()}
+    one = brute_kept({r.doc_id: r.text or "" for r in steps[0].collect()})  # five words, similarity 0.8
     assert Counter(r.doc_id for r in steps[1].collect()) == Counter(one)
     assert all(len(r.text) == r.n_chars for r in steps[2].collect()) and steps[2].count() == len(one)
     assert {r.doc_id for r in steps[3].collect()} <= one and steps[3].columns == list(c.COLUMNS)
     assert steps[4].where("not exact").count() == 0 and steps[4].select("doc_id").distinct().count() == steps[3].select("doc_id").distinct().count()
+
+
+def test_mix_repeats_documents_as_the_operator_takes_them(spark):
+    rows = [(i % 90, f"w{i % 90} " * (1 + i % 90 % 13), "en", f"s{i % 90 % 4}" if i % 90 % 5 else None, i) for i in range(150)] + [(7, "of one kind " * 5, "en", "s1", 1)] * 40
+    docs = spark.createDataFrame([(i, t, a, s, len(t)) for i, t, a, s, _ in rows], DOCS)
+    taken = Counter()
+    for r in c.mixing.mixed(docs).collect():
+        taken[r.doc_id, r.size] += int(r.taken / r.size + 0.5)
+    got = Counter((r.doc_id, len(r.text.split())) for r in c.mix(spark, docs, "").collect())
+    assert got == +taken and len(got) > 50
+
+
+def test_row_keys_mark_nulls(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (1, "x", None), (1, "", "x"), (1, "x", ""), (11, "x", ""), (1, "1:x", "")], "a int, b string, c string")
+    assert rows.select(c.row_key(F.col("a"), F.col("b"), F.col("c")).alias("k")).distinct().count() == 6

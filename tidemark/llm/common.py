@@ -2,44 +2,17 @@
 
 from __future__ import annotations
 
-import getpass
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import cut, shared_dir
+
+__all__ = ["GAP", "WORD", "cut", "row_key", "shared_dir", "small_batches", "table", "words_of"]
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, a laptop) a local folder is chosen, and remembered in the session.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + os.path.join(tempfile.gettempdir(), f"tidemark-{getpass.getuser()}")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of what was written.
-
-    The lineage ends there, so a lost executor costs a re-read and never a
-    recomputation, and the optimizer knows the size of the result.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = 1024, mb: int = 16) -> None:
     """Bound the Arrow batches that Python workers get, as texts can be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -55,8 +28,9 @@ def words_of(text: Column) -> Column:
 
 
 def row_key(*cols: Column) -> Column:
-    """A key that repeated rows share and that null ids don't merge."""
-    return F.xxhash64(*cols)
+    """128 bits that only repeated rows share: an MD5 over fields with their lengths, nulls marked."""
+    said = [c.cast("string") for c in cols]
+    return F.unhex(F.md5(F.concat(*[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in said])))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -117,22 +117,21 @@ def dropped(node: Node) -> bool:
 
 def main_part(root: Node) -> list[Node]:
     """The page's ``article`` or ``main`` elements outside dropped parts, outermost first, else its root."""
-    found: dict[str, list[Node]] = {"article": [], "main": [], "words": []}
-
-    def look(node: Node) -> None:
-        for k in node.kids:
-            if isinstance(k, str) or dropped(k):
-                continue
-            if k.tag == "article" or k.role == "article":
-                found["article"].append(k)
-                continue
-            if k.tag == "main" or k.role == "main":
-                found["main"].append(k)
-            look(k)
-
-    look(root)
-    mains = [m for m in found["main"] if not any(_within(a, m) for a in found["article"])]
-    return found["article"] + mains if found["article"] and not mains else found["article"] or mains or [root]
+    articles: list[Node] = []
+    mains: list[Node] = []
+    todo = [k for k in reversed(root.kids) if not isinstance(k, str)]
+    while todo:
+        k = todo.pop()
+        if dropped(k):
+            continue
+        if k.tag == "article" or k.role == "article":
+            articles.append(k)
+            continue
+        if k.tag == "main" or k.role == "main":
+            mains.append(k)
+        todo += [x for x in reversed(k.kids) if not isinstance(x, str)]
+    alone = [m for m in mains if not any(_within(a, m) for a in articles)]
+    return articles + alone if articles and not alone else articles or alone or [root]
 
 
 def _within(node: Node, top: Node) -> bool:

@@ -2,9 +2,11 @@
 
 ``pack`` writes a payload losslessly as the samples of one track (``ftyp``,
 ``moov`` with full sample tables, ``mdat``).  ``walk`` goes through nested boxes of
-any such file; ``index`` decodes the sample tables into codec, duration and the
-byte range of every keyframe.  Neither touches the payload's bytes: they read box
-headers and tables only.
+any such file; ``index`` decodes the sample tables of all tracks, and the runs of
+movie fragments, into codec, duration and the byte range of every keyframe.  Neither
+touches the payload's bytes: they read box headers and tables only.  A file whose
+boxes or tables contradict each other or its length is refused, before memory is
+taken for what it claims to hold.
 """
 
 from __future__ import annotations
@@ -32,10 +34,17 @@ class Broken(ValueError):
     """A file whose boxes or tables contradict its length or each other."""
 
 
-def walk(data: bytes | memoryview, start: int = 0, end: int | None = None, path: str = "") -> Iterator[tuple[str, int, int]]:
+#: Boxes nest some ten deep in real files.
+DEEPEST = 64
+
+
+def walk(data: bytes | memoryview) -> Iterator[tuple[str, int, int]]:
     """Yield ``(path, body start, body end)`` of every box, depth first, in file order."""
-    end = len(data) if end is None else end
-    while start < end:
+    todo = [(0, len(data), "", 0)]
+    while todo:
+        start, end, path, depth = todo.pop()
+        if start == end:
+            continue
         if end - start < 8:
             raise Broken(f"{end - start} stray bytes at {start}")
         size, kind = struct.unpack_from(">I4s", data, start)
@@ -51,9 +60,11 @@ def walk(data: bytes | memoryview, start: int = 0, end: int | None = None, path:
             raise Broken(f"a box at {start} has size {size}")
         name = f"{path}/{kind.decode('latin-1')}"
         yield name, body, start + size
+        todo.append((start + size, end, path, depth))
         if kind in NESTED:
-            yield from walk(data, body + NESTED[kind], start + size, name)
-        start += size
+            if depth == DEEPEST or body + NESTED[kind] > start + size:
+                raise Broken(f"a box at {start} is too deep or too short")
+            todo.append((body + NESTED[kind], start + size, name, depth + 1))
 
 
 @dataclass
@@ -61,7 +72,7 @@ class Track:
     codec: str = ""
     timescale: int = 0
     duration: int = 0
-    width: int = 8
+    number: int = 0
     sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     offsets: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -75,64 +86,160 @@ class Track:
         return list(zip(self.offsets[self.keys].tolist(), self.sizes[self.keys].tolist(), strict=True))
 
 
-def _table(data: bytes, at: int, end: int, columns: int, kind: str = ">u4") -> np.ndarray:
-    (n,) = struct.unpack_from(">I", data, at + 4)
-    width = columns * np.dtype(kind).itemsize
-    if at + 8 + n * width > end:
+def _numbers(data: bytes, at: int, end: int, n: int, kind: str = ">u4") -> np.ndarray:
+    if at + n * np.dtype(kind).itemsize > end:
         raise Broken(f"a table at {at} is cut")
-    return np.frombuffer(data, kind, n * columns, at + 8).reshape(n, columns).astype(np.int64)
+    return np.frombuffer(data, kind, n, at).astype(np.int64)
+
+
+def _word(data: bytes, at: int, end: int, kind: str = ">I") -> int:
+    if at + struct.calcsize(kind) > end:
+        raise Broken(f"a field at {at} is cut")
+    return struct.unpack_from(kind, data, at)[0]
+
+
+def _table(data: bytes, at: int, end: int, columns: int, kind: str = ">u4") -> np.ndarray:
+    n = _word(data, at + 4, end)
+    return _numbers(data, at + 8, end, n * columns, kind).reshape(n, columns)
+
+
+def _inside(data: bytes, offsets: np.ndarray, sizes: np.ndarray) -> None:
+    if len(offsets) and (offsets.min() < 0 or int((offsets + sizes).max()) > len(data)):
+        raise Broken("a sample lies outside the file")
 
 
 def index(data: bytes) -> list[Track]:
-    """The tracks of a file by its sample tables alone; :class:`Broken` if they don't fit."""
+    """The tracks of a file by its sample tables and fragment runs alone; :class:`Broken` if they don't fit."""
     tracks: list[Track] = []
     parts: dict[str, tuple[int, int]] = {}
+    defaults: dict[int, tuple[int, int, int]] = {}
+    fragment: list[int] = [0, 0, 0]  # where the fragment starts, where its run starts, where the next data starts
+    head: dict[str, int] = {}
 
     def close() -> None:
         if parts:
             tracks.append(_track(data, parts))
             parts.clear()
 
-    for path, at, end in walk(data):
-        if path == "/moov/trak":
-            close()
-        if path.startswith("/moov/trak/"):
-            parts[path.rpartition("/")[2]] = (at, end)
-    close()
+    try:
+        for path, at, end in walk(data):
+            name = path.rpartition("/")[2]
+            if path == "/moov/trak":
+                close()
+            elif path.startswith("/moov/trak/"):
+                parts[name] = (at, end)
+            elif path == "/moov/mvex/trex":
+                defaults[_word(data, at + 4, end)] = tuple(_word(data, at + k, end) for k in (12, 16, 20))
+            elif path == "/moof":
+                close()
+                fragment[:] = [at - 8, at - 8, at - 8]
+            elif path == "/moof/traf/tfhd":
+                head = _fragment_head(data, at, end, defaults, fragment)
+            elif path == "/moof/traf/trun":
+                track = next((t for t in tracks if t.number == head.get("track")), None)
+                if track is None:
+                    raise Broken("a fragment of no track")
+                _run(data, at, end, track, head)
+                fragment[2] = head["next"]
+        close()
+    except (struct.error, IndexError, OverflowError) as e:
+        raise Broken(str(e)) from e
     return tracks
 
 
+def _fragment_head(data: bytes, at: int, end: int, defaults: dict, fragment: list[int]) -> dict[str, int]:
+    """Track, base and sample defaults of a fragment of a track."""
+    flags = _word(data, at, end) & 0xFFFFFF
+    head = {"track": _word(data, at + 4, end)}
+    at += 8
+    duration, size, sync = defaults.get(head["track"], (0, 0, 0))
+    base = fragment[0] if flags & 0x20000 else fragment[2]
+    for bit, kind in ((0x1, ">Q"), (0x2, ">I"), (0x8, ">I"), (0x10, ">I"), (0x20, ">I")):
+        if flags & bit:
+            value = _word(data, at, end, kind)
+            at += struct.calcsize(kind)
+            base, duration, size, sync = (value if bit == 0x1 else base, value if bit == 0x8 else duration, value if bit == 0x10 else size, value if bit == 0x20 else sync)
+    return head | {"base": base, "next": base, "duration": duration, "size": size, "flags": sync}
+
+
+def _run(data: bytes, at: int, end: int, track: Track, head: dict[str, int]) -> None:
+    """Append the samples of a run to its track."""
+    flags, n = _word(data, at, end) & 0xFFFFFF, _word(data, at + 4, end)
+    at += 8
+    start = head["next"]
+    if flags & 0x1:
+        start = head["base"] + _word(data, at, end, ">i")
+        at += 4
+    first = head["flags"]
+    if flags & 0x4:
+        first = _word(data, at, end)
+        at += 4
+    named = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+    if n > len(data):
+        raise Broken("more samples than bytes")
+    columns = _numbers(data, at, end, n * len(named)).reshape(n, len(named)) if named else np.zeros((n, 0), np.int64)
+    of = lambda bit, value: columns[:, named.index(bit)] if bit in named else np.full(n, value, np.int64)
+    sizes, sync = of(0x200, head["size"]), of(0x400, head["flags"]).copy()
+    if flags & 0x4 and n and 0x400 not in named:
+        sync[0] = first
+    offsets = start + np.cumsum(sizes) - sizes
+    _inside(data, offsets, sizes)
+    keys = np.flatnonzero(sync & 0x10000 == 0) + len(track.sizes)
+    track.sizes, track.offsets, track.keys = (np.append(x, y) for x, y in ((track.sizes, sizes), (track.offsets, offsets), (track.keys, keys)))
+    track.duration += int(of(0x100, head["duration"]).sum())
+    head["next"] = int(start + sizes.sum())
+
+
+def _sizes(data: bytes, parts: dict[str, tuple[int, int]]) -> np.ndarray:
+    if "stsz" in parts:
+        at, end = parts["stsz"]
+        each, n = _word(data, at + 4, end), _word(data, at + 8, end)
+        if each * n > len(data):
+            raise Broken("samples beyond the file's length")
+        return np.full(n, each, np.int64) if each else _table(data, at + 4, end, 1)[:, 0]
+    if "stz2" in parts:
+        at, end = parts["stz2"]
+        bits, n = _word(data, at + 4, end) & 255, _word(data, at + 8, end)
+        if bits in (8, 16):
+            return _numbers(data, at + 12, end, n, f">u{bits // 8}")
+        if bits != 4:
+            raise Broken(f"sample sizes of {bits} bits")
+        pairs = _numbers(data, at + 12, end, (n + 1) // 2, ">u1")
+        return np.stack([pairs >> 4, pairs & 15], axis=1).reshape(-1)[:n]
+    return np.zeros(0, np.int64)
+
+
 def _track(data: bytes, parts: dict[str, tuple[int, int]]) -> Track:
     t = Track()
+    if "tkhd" in parts:
+        at, end = parts["tkhd"]
+        t.number = _word(data, at + (20 if _word(data, at, end, ">B") == 1 else 12), end)
     if "mdhd" in parts:
-        at, _ = parts["mdhd"]
-        t.timescale, t.duration = struct.unpack_from(">IQ", data, at + 20) if data[at] == 1 else struct.unpack_from(">II", data, at + 12)
+        at, end = parts["mdhd"]
+        long = _word(data, at, end, ">B") == 1
+        t.timescale, t.duration = (_word(data, at + 20, end), _word(data, at + 24, end, ">Q")) if long else (_word(data, at + 12, end), _word(data, at + 16, end))
     if "stsd" in parts:
         at, end = parts["stsd"]
         if end - at >= 16:
             t.codec = bytes(data[at + 12 : at + 16]).decode("latin-1")
-    if "stsz" in parts:
-        at, end = parts["stsz"]
-        each, n = struct.unpack_from(">II", data, at + 4)
-        t.sizes = np.full(n, each, np.int64) if each else _table(data, at + 4, end, 1)[:, 0]
+    t.sizes = _sizes(data, parts)
     n = len(t.sizes)
     if "stts" in parts and not t.duration:
-        runs = _table(data, *parts["stts"], 2)
-        t.duration = int((runs[:, 0] * runs[:, 1]).sum())
+        t.duration = sum(a * b for a, b in _table(data, *parts["stts"], 2).tolist())
     chunks = _table(data, *parts["stco"], 1)[:, 0] if "stco" in parts else _table(data, *parts["co64"], 1, ">u8")[:, 0] if "co64" in parts else np.zeros(0, np.int64)
     if n:
         runs = _table(data, *parts["stsc"], 3) if "stsc" in parts else np.zeros((0, 3), np.int64)
-        if not len(runs) or not len(chunks) or runs[0, 0] != 1:
+        if not len(runs) or not len(chunks) or runs[0, 0] != 1 or (np.diff(runs[:, 0]) <= 0).any() or runs[-1, 0] > len(chunks):
             raise Broken("samples without chunks")
         per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunks) + 1)))
-        if per.sum() < n:
+        upto = np.cumsum(np.minimum(per, n))
+        if upto[-1] < n:
             raise Broken("fewer samples in chunks than sizes")
-        chunk = np.repeat(np.arange(len(chunks)), per)[:n]
+        chunk = np.searchsorted(upto, np.arange(n), side="right")
         before = np.cumsum(t.sizes) - t.sizes
-        first = np.searchsorted(chunk, np.arange(len(chunks)))
-        t.offsets = chunks[chunk] + before - before[np.minimum(first, n - 1)][chunk]
-        if (t.offsets + t.sizes).max() > len(data):
-            raise Broken("a sample ends beyond the file")
+        first = np.minimum(upto - np.minimum(per, n), n - 1)
+        t.offsets = chunks[chunk] + before - before[first][chunk]
+        _inside(data, t.offsets, t.sizes)
     t.keys = _table(data, *parts["stss"], 1)[:, 0] - 1 if "stss" in parts else np.arange(n)
     if len(t.keys) and not 0 <= t.keys.min() <= t.keys.max() < n:
         raise Broken("a keyframe that is no sample")
@@ -190,6 +297,8 @@ def pack(payload: bytes) -> bytes:
 def unpack(data: bytes) -> bytes:
     """The payload of the first track, read back sample by sample through its tables."""
     t = index(data)[0]
+    if not len(t.offsets):
+        return b""
     view = memoryview(data)
     ends = t.offsets + t.sizes
     runs = np.flatnonzero(np.append(True, t.offsets[1:] != ends[:-1]))
@@ -219,7 +328,8 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return own.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-_FOUND = "codec string, seconds double, keyframes array<struct<offset:bigint,length:bigint>>, error string, payload_bytes long, payload_sha256 string, tail_crc32 long"
+_TRACKS = "array<struct<codec:string,seconds:double,keyframes:array<struct<offset:bigint,length:bigint>>>>"
+_FOUND = f"tracks {_TRACKS}, error string, payload_bytes long, payload_sha256 string, tail_crc32 long"
 
 
 def _features(data: bytes | None, payload: bool) -> dict:
@@ -227,32 +337,30 @@ def _features(data: bytes | None, payload: bool) -> dict:
         tracks = index(data or b"")
         if not tracks:
             raise Broken("no track")
-        t = tracks[0]
-        out = {"codec": t.codec, "seconds": t.seconds, "keyframes": [{"offset": o, "length": n} for o, n in t.keyframes()], "error": None}
+        out = {"tracks": [{"codec": t.codec, "seconds": t.seconds, "keyframes": [{"offset": o, "length": n} for o, n in t.keyframes()]} for t in tracks], "error": None}
         if payload:
             p = unpack(data)
             out |= {"payload_bytes": len(p), "payload_sha256": hashlib.sha256(p).hexdigest(), "tail_crc32": zlib.crc32(p[-16:])}
         return out
-    except (Broken, struct.error) as e:
-        return {"codec": None, "seconds": None, "keyframes": None, "error": str(e)}
+    except (ValueError, struct.error, IndexError, OverflowError) as e:
+        return {"tracks": None, "error": str(e) or type(e).__name__}
 
 
 def features(rows: DataFrame, media_col: str = "media", payload: bool = False) -> DataFrame:
     """Add what the containers' tables say, and with ``payload`` digests of the bytes read back.
 
-    Adds ``codec``, ``seconds``, ``keyframes`` (byte ranges), ``error`` and, null
-    unless asked for, ``payload_bytes``, ``payload_sha256``, ``tail_crc32``.  Null or
-    broken containers give nulls and an ``error``; existing columns of these names
-    are replaced, all others are kept.
+    Adds ``tracks`` (codec, seconds and byte ranges of keyframes of every track, in file
+    order), ``error`` and, null unless asked for, ``payload_bytes``, ``payload_sha256``,
+    ``tail_crc32`` of the first track.  Null or broken containers give nulls and an
+    ``error``; existing columns of these names are replaced, all others are kept.
     """
     small_batches(rows.sparkSession, rows=256)
+    names = ("tracks", "error", "payload_bytes", "payload_sha256", "tail_crc32")
 
     @F.pandas_udf(_FOUND)
     def run(media: pd.Series) -> pd.DataFrame:
-        names = ("codec", "seconds", "keyframes", "error", "payload_bytes", "payload_sha256", "tail_crc32")
         found = [_features(m, payload) for m in media]
         return pd.DataFrame({k: pd.Series([f.get(k) for f in found], dtype="Int64" if k in ("payload_bytes", "tail_crc32") else object) for k in names})
 
-    names = [x.split()[0] for x in _FOUND.replace("array<struct<offset:bigint,length:bigint>>", "array").split(", ")]
     kept = [c for c in rows.columns if c not in names]
     return rows.select(*kept, run(F.col(media_col)).alias("__f")).select(*kept, "__f.*")

@@ -31,6 +31,37 @@ FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
 """
 
 
+_UNITS = r"list_distinct(list_filter(list_transform([{0}] || regexp_split_to_array({0}, '\n\s*\n') || string_split({0}, chr(10)), lambda p: trim(regexp_replace(lower(p), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda u: len(string_split(u, ' ')) >= 3))"
+OP1 = rf"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, min(text) AS x FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+m AS (
+  SELECT row_number() OVER () AS id, c.conv_id, c.turn, c.role, coalesce(c.text, '') AS own, a.x AS q1, CASE WHEN a.x IS NOT NULL THEN b.x END AS q2
+  FROM conversations c LEFT JOIN o AS a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1 LEFT JOIN o AS b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2),
+said AS (SELECT DISTINCT conv_id, turn, unnest({_UNITS.format('own')}) AS u FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+near AS (SELECT conv_id, u, min(turn) AS turn FROM said GROUP BY ALL),
+wide AS (SELECT u, min(row(conv_id, turn)) AS m FROM near GROUP BY u),
+asked AS (
+  SELECT DISTINCT conv_id, turn, 1 AS v, unnest({_UNITS.format("coalesce(q1, '')")}) AS u FROM m
+  UNION SELECT DISTINCT conv_id, turn, 2, unnest({_UNITS.format("coalesce(q2, '')")}) FROM m),
+inside AS (SELECT a.*, CASE WHEN n.turn < a.turn THEN n.turn END AS t FROM asked a LEFT JOIN near n ON n.conv_id = a.conv_id AND n.u = a.u),
+votes AS (
+  SELECT conv_id, turn, v, 1 AS near, length(u) AS n, conv_id AS c, t FROM inside WHERE t IS NOT NULL
+  UNION ALL SELECT i.conv_id, i.turn, v, 0, length(i.u), w.m[1], w.m[2] FROM inside i JOIN wide w ON w.u = i.u WHERE t IS NULL AND w.m < row(i.conv_id, i.turn) AND w.m[1] <> i.conv_id),
+summed AS (SELECT conv_id, turn, v, near, c, t, sum(n) AS n FROM votes GROUP BY ALL),
+levels AS (SELECT conv_id, turn, v, max(row(near, n, c, t)) AS b FROM summed GROUP BY ALL),
+parents AS (SELECT conv_id, turn, string_agg(v || ':' || b[3] || ':' || b[4], ',' ORDER BY v) AS quoted, arg_min(b[3], v) AS pc, arg_min(b[4], v) AS pt FROM levels GROUP BY ALL),
+up AS (
+  SELECT conv_id, turn, pc AS rc, pt AS rt, 1 AS depth FROM parents
+  UNION ALL SELECT u.conv_id, u.turn, p.pc, p.pt, u.depth + 1 FROM up u JOIN parents p ON p.conv_id = u.rc AND p.turn = u.rt),
+roots AS (SELECT conv_id, turn, arg_max(rc, depth) AS rc, arg_max(rt, depth) AS rt, max(depth) AS depth FROM up GROUP BY ALL)
+SELECT m.conv_id, m.turn, m.role,
+  regexp_replace(regexp_replace(array_to_string(list_transform(string_split(own, chr(10)), lambda l: regexp_replace(regexp_replace(l, '^ ', ''), '\s+$', '')), chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS content,
+  ((q1 IS NOT NULL)::INTEGER + (q2 IS NOT NULL)::INTEGER) AS n_quotes, coalesce(p.quoted, '') AS quoted, p.pc AS reply_conv, p.pt AS reply_turn,
+  coalesce(r.rc, m.conv_id) AS root_conv, coalesce(r.rt, m.turn) AS root_turn, coalesce(r.depth, 0)::BIGINT AS depth
+FROM m LEFT JOIN parents p ON p.conv_id = m.conv_id AND p.turn = m.turn LEFT JOIN roots r ON r.conv_id = m.conv_id AND r.turn = m.turn
+"""
+
+
 OP5 = r"""
 WITH c AS (
   SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours((page_id % 17520)::INTEGER) AS fetched,
@@ -74,7 +105,7 @@ FROM d
 """
 
 
-def _op9(floors: tuple[float, ...] = (0.15, 0.6, 1.0, 1.0), steps: int = 3) -> str:
+def _op9(floors: tuple[float, ...] = (0.15, 0.6, 0.75, 1.0), steps: int = 3) -> str:
     """The estimate unrolled: a common table per histogram, bound and set of moments."""
     dims = range(4)
     pairs = [(i, j) for i in dims for j in range(i + 1)]
@@ -120,4 +151,4 @@ def _op9(floors: tuple[float, ...] = (0.15, 0.6, 1.0, 1.0), steps: int = 3) -> s
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5, "op9_quality_rules": _op9(), "op10_warc_index_first": OP10}
+    return {"op1_quotation_linking": OP1, "op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5, "op9_quality_rules": _op9(), "op10_warc_index_first": OP10}

@@ -35,8 +35,12 @@ class Rules:
     ``share`` of a group's most central rows is what the estimate is made of and
     ``consistency`` makes its scatter unbiased for a normal bulk (for 0.75 and four
     dimensions); ``cut`` is the 0.99999 quantile of chi-square with four degrees of
-    freedom; ``floors`` are the least standard deviations of the statistics, so wide
-    that one repeated line in a short text is no outlier by itself;
+    freedom; ``steps`` concentration steps are made from the one deterministic start,
+    without restarts (more steps change no verdict on the given documents);
+    ``floors`` are the least standard deviations of the statistics, so wide that one
+    repeated line in a short text is no outlier by itself, but half of all lines are;
+    repeated words are an outlier only together with something else, as the base rule
+    already rejects a fifth of them;
     sources with fewer than ``least`` rows of a language are pooled per language,
     and a pool that is still smaller has no estimate and rejects nothing.
     """
@@ -47,7 +51,7 @@ class Rules:
     consistency: float = 1.486
     steps: int = 3
     cut: float = 28.47
-    floors: tuple[float, ...] = (0.15, 0.6, 1.0, 1.0)
+    floors: tuple[float, ...] = (0.15, 0.6, 0.75, 1.0)
     least: int = 40
     bins: int = 64
 
@@ -90,15 +94,12 @@ def _statistics(rules: Rules) -> list[Column]:
 
 
 def _groups(stats: DataFrame, rules: Rules) -> DataFrame:
-    """Add ``g``, the group whose estimate holds for a row; null: none."""
-    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x02"))
-    stats = stats.withColumns({"__lang": part("lang"), "__own": F.concat_ws("\x01", part("lang"), part("source"))})
-    sizes = stats.groupBy("__lang", "__own").agg(F.count("*").alias("n"))
+    """``own`` (a row's language and source) and ``g``, the group whose estimate holds for it; a row per ``own`` that has one."""
+    sizes = stats.groupBy("lang_key", "own").agg(F.count("*").alias("n"))
     pooled = F.col("n") < rules.least
-    sizes = sizes.select("__own", F.when(pooled, F.concat_ws("\x01", "__lang", F.lit("\x03"))).otherwise(F.col("__own")).alias("g"), "n")
+    sizes = sizes.select("own", F.when(pooled, F.concat_ws("\x01", "lang_key", F.lit("\x03"))).otherwise(F.col("own")).alias("g"), "n")
     pools = sizes.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= rules.least)
-    named = cut(sizes.drop("n").join(pools.select("g"), "g"), "quality-groups")
-    return stats.join(named, "__own", "left").drop("__own", "__lang")
+    return cut(sizes.drop("n").join(pools.select("g"), "g"), "quality-groups")
 
 
 def _order(rows: DataFrame, keys: list[str], value: str, rank: Column, name: str) -> DataFrame:
@@ -170,13 +171,15 @@ def judge(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_
     repeated rows each count and get equal verdicts; ties with the cut are kept; an
     empty table gives an empty one; other columns are ignored.
     """
-    own = docs.select("*", F.col("lang").alias("__lang"), F.col("source").alias("__source")) if keep else docs.withColumns({"__lang": F.col("lang"), "__source": F.col("source")})
-    base = counters(own, id_col, text_col, (*keep, "__lang", "__source"))
-    base = cut(base.withColumnRenamed("__lang", "lang").withColumnRenamed("__source", "source").select("*", *_statistics(rules)), "quality-stats")
-    stats = cut(_groups(base, rules), "quality-grouped")
-    fit = estimates(stats, rules)
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x02"))
+    named = docs.select(*keep, F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), part("lang").alias("lang_key"), F.concat_ws("\x01", part("lang"), part("source")).alias("own"))
+    base = counters(named, "__id", "__text", (*keep, "lang_key", "own"))
+    base = cut(base.select("*", *_statistics(rules)), "quality-stats")
+    groups = _groups(base, rules)
+    fit = groups.join(estimates(base.join(groups, "own"), rules), "g").drop("g")
     centre, root = [F.col(f"m{i}") for i in range(D)], {(i, j): F.col(f"l{i}{j}") for i in range(D) for j in range(i + 1)}
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     far = F.coalesce(F.col("distance") > rules.cut, F.lit(False))
-    scored = stats.join(fit, "g", "left").select(*stats.columns, _distance(centre, root).alias("distance"), failed.alias("base_failed"))
+    # a row per language and source, so small that rows are judged where they are, or else a join that Spark may split
+    scored = base.join(cut(fit, "quality-fit"), "own", "left").select(*base.columns, _distance(centre, root).alias("distance"), failed.alias("base_failed"))
     return scored.select(*keep, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance")

@@ -12,8 +12,20 @@ from tidemark.llm import media, mixing, pieces, quality, quotes, simhash, surrog
 from tidemark.llm.common import table
 
 
+def _quoting(messages: DataFrame) -> DataFrame:
+    """Messages as mail would have them: each quotes the one before it, and that one's quote below it a level deeper."""
+    one = messages.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(F.min("text").alias("t"))
+    back = lambda k: one.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("t").alias(f"t{k}"))
+    both = messages.select("conv_id", "turn", "role", "text").join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left")
+    quote = lambda c, mark: F.concat(F.lit(mark), F.replace(c, F.lit("\n"), F.lit("\n" + mark)))
+    deeper = F.when(F.col("t2").isNotNull(), F.concat(F.lit("\n"), quote(F.col("t2"), ">> "))).otherwise("")
+    text = F.concat(F.lit("On Monday, Bob wrote:\n"), quote(F.col("t1"), "> "), deeper, F.lit("\n\n"), F.coalesce("text", F.lit("")))
+    return both.select("conv_id", "turn", "role", F.when(F.col("t1").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
 def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.link(table(spark, sf_dir, "conversations"))
+    linked = quotes.link(_quoting(table(spark, sf_dir, "conversations")))
+    return linked.withColumn("quoted", F.array_join(F.transform("quoted", lambda q: F.concat_ws(":", q["level"], q["conv"], q["turn"])), ","))
 
 
 def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +74,9 @@ def op6_surrogate_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_iso_media_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = media.features(media.store(table(spark, sf_dir, "documents")), payload=True)
-    first = F.concat_ws("+", F.get("keyframes", F.lit(0))["offset"], F.get("keyframes", F.lit(0))["length"])
-    feature = F.concat_ws(";", F.col("codec"), F.concat(F.col("seconds").cast("decimal(20,4)").cast("string"), F.lit("s")), F.concat(F.size("keyframes").cast("string"), F.lit("k")), first)
+    track = F.get("tracks", F.lit(0))
+    first = F.get(track["keyframes"], F.lit(0))
+    feature = F.concat_ws(";", track["codec"], F.concat(track["seconds"].cast("decimal(20,4)").cast("string"), F.lit("s")), F.concat(F.size(track["keyframes"]).cast("string"), F.lit("k")), F.concat_ws("+", first["offset"], first["length"]))
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
 
 

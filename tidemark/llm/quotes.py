@@ -41,11 +41,11 @@ def parse(messages: DataFrame) -> DataFrame:
     rows = rows.select("*", F.regexp_replace(F.regexp_replace(own, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "").alias("own"), F.filter("__n", lambda x: x["v"] > 0).alias("__q")).drop("__n")
     # a passage starts where the level changes or a line is left out in between
     start = lambda x, i: F.coalesce((F.get(F.col("__q"), i - 1)["v"] != x["v"]) | (F.get(F.col("__q"), i - 1)["i"] != x["i"] - 1), F.lit(True))
-    rows = rows.select("*", F.transform("__q", lambda x, i: F.struct(x["v"].alias("v"), x["t"].alias("t"), start(x, i).alias("s"))).alias("__s")).drop("__q")
-    empty = F.array().cast("array<struct<v:int,t:string>>")
-    last = lambda acc: F.element_at(acc, -1)
-    grow = lambda acc, x: F.when(x["s"], F.concat(acc, F.array(F.struct(x["v"].alias("v"), x["t"].alias("t"))))).otherwise(F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last(acc)["v"].alias("v"), F.concat(last(acc)["t"], F.lit("\n"), x["t"]).alias("t")))))
-    return rows.select("*", F.when(F.size("__s") > 0, F.aggregate("__s", empty, grow)).otherwise(empty).alias("passages")).drop("__s")
+    # one string, so that a long quote grows by no copies; its marks are no text
+    line = lambda x, i: F.concat(F.when(start(x, i), F.concat(F.lit("\x02"), x["v"].cast("string"), F.lit("\x03"))).otherwise(""), F.translate(x["t"], "\x02\x03", ""))
+    parts = F.filter(F.split(F.array_join(F.transform("__q", line), "\n"), "\n?\x02"), lambda p: p != "")
+    passage = lambda p: F.struct(F.substring_index(p, "\x03", 1).cast("int").alias("v"), F.substr(p, F.instr(p, F.lit("\x03")) + 1).alias("t"))
+    return rows.select("*", F.transform(parts, passage).alias("passages")).drop("__q")
 
 
 def _units(text: Column, least: int) -> Column:
@@ -59,17 +59,18 @@ def link(messages: DataFrame, least: int = 3) -> DataFrame:
     """Reply structure of messages.
 
     ``messages`` has ``conv_id``, ``turn``, ``role`` and ``text``.  Returns
-    ``conv_id``, ``turn``, ``role``, ``content`` (own words), ``n_quotes``,
-    ``reply_conv`` and ``reply_turn`` (the message quoted at the lowest level, null
-    if none), ``root_conv``, ``root_turn`` and ``depth``.
+    ``conv_id``, ``turn``, ``role``, ``content`` (own words), ``n_quotes``, ``quoted``
+    (level, conversation and turn of the message that every level quotes),
+    ``reply_conv`` and ``reply_turn`` (that of the lowest level that links, null if none
+    does), ``root_conv``, ``root_turn`` and ``depth``.
 
     A passage links to the earliest message that says its whole, a paragraph or a
     line of it in its own words, within the conversation if there is one, else
-    anywhere; only to messages before (by conversation and turn).  Most quoted
-    characters win, then the latest message.  Null texts are empty; messages with a
-    null conversation or turn get no link and are roots of their own; rows that
-    repeat a conversation and turn are linked alike; an empty table gives an empty
-    one; other columns are ignored.
+    anywhere; only to messages before (by conversation and turn).  Per level messages
+    of the conversation come first, then most quoted characters, then the latest
+    message.  Null texts are empty; messages with a null conversation or turn get no
+    link and are roots of their own; rows that repeat a conversation and turn are
+    linked alike; an empty table gives an empty one; other columns are ignored.
     """
     own = parse(messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")))
     own = cut(own.drop("text"), "quote-parsed")
@@ -77,21 +78,24 @@ def link(messages: DataFrame, least: int = 3) -> DataFrame:
     near = cut(said.groupBy("conv_id", "h").agg(F.min("turn").alias("turn")), "quote-index")
     wide = cut(near.groupBy("h").agg(F.min(F.struct("conv_id", "turn")).alias("m")), "quote-index-all")
     asked = own.where("size(passages) > 0 and conv_id is not null and turn is not null")
-    asked = asked.select("conv_id", "turn", F.filter("passages", lambda p: p["v"] == F.array_min(F.transform("passages", lambda q: q["v"]))).alias("p"))
-    asked = asked.select("conv_id", "turn", F.explode("p").alias("p")).select("conv_id", "turn", F.inline(_units(F.col("p.t"), least))).distinct()
+    asked = asked.select("conv_id", "turn", F.explode("passages").alias("p")).select("conv_id", "turn", F.col("p.v").alias("v"), F.inline(_units(F.col("p.t"), least))).distinct()
     inside = asked.join(near.withColumnRenamed("turn", "__t"), ["conv_id", "h"], "left")
-    inside = inside.select("conv_id", "turn", "h", "n", F.when(F.col("__t") < F.col("turn"), F.col("__t")).alias("t"))
+    inside = inside.select("conv_id", "turn", "v", "h", "n", F.when(F.col("__t") < F.col("turn"), F.col("__t")).alias("t"))
     before = F.struct(F.col("m.conv_id"), F.col("m.turn")) < F.struct("conv_id", "turn")
     outside = inside.where("t is null").join(wide, "h").where(before & (F.col("m.conv_id") != F.col("conv_id")))
-    votes = inside.where("t is not null").select("conv_id", "turn", F.lit(1).alias("near"), "n", F.col("conv_id").alias("c"), "t").unionByName(outside.select("conv_id", "turn", F.lit(0).alias("near"), "n", F.col("m.conv_id").alias("c"), F.col("m.turn").alias("t")))
-    summed = votes.groupBy("conv_id", "turn", "near", "c", "t").agg(F.sum("n").alias("n"))
-    parents = summed.groupBy("conv_id", "turn").agg(F.max(F.struct("near", "n", "c", "t")).alias("b"))
-    parents = cut(parents.select("conv_id", "turn", F.col("b.c").alias("pc"), F.col("b.t").alias("pt")), "quote-parents")
+    votes = inside.where("t is not null").select("conv_id", "turn", "v", F.lit(1).alias("near"), "n", F.col("conv_id").alias("c"), "t").unionByName(outside.select("conv_id", "turn", "v", F.lit(0).alias("near"), "n", F.col("m.conv_id").alias("c"), F.col("m.turn").alias("t")))
+    summed = votes.groupBy("conv_id", "turn", "v", "near", "c", "t").agg(F.sum("n").alias("n"))
+    levels = summed.groupBy("conv_id", "turn", "v").agg(F.max(F.struct("near", "n", "c", "t")).alias("b"))
+    parents = levels.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct(F.col("v").alias("level"), F.col("b.c").alias("conv"), F.col("b.t").alias("turn")))).alias("quoted"))
+    lowest = F.get("quoted", F.lit(0))
+    parents = cut(parents.select("conv_id", "turn", "quoted", lowest["conv"].alias("pc"), lowest["turn"].alias("pt")), "quote-parents")
     known = _roots(parents)
-    known = known.select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), "pc", "pt", "rc", "rt", "depth")
+    known = known.join(parents.select("conv_id", "turn", "quoted"), ["conv_id", "turn"])
+    known = known.select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), "quoted", "pc", "pt", "rc", "rt", "depth")
     rows = own.join(known, (F.col("conv_id") == F.col("__c")) & (F.col("turn") == F.col("__t")), "left")
     return rows.select(
-        "conv_id", "turn", "role", F.col("own").alias("content"), F.size("passages").alias("n_quotes"), F.col("pc").alias("reply_conv"), F.col("pt").alias("reply_turn"),
+        "conv_id", "turn", "role", F.col("own").alias("content"), F.size("passages").alias("n_quotes"),
+        F.coalesce("quoted", F.array().cast("array<struct<level:int,conv:bigint,turn:bigint>>")).alias("quoted"), F.col("pc").alias("reply_conv"), F.col("pt").alias("reply_turn"),
         F.coalesce("rc", "conv_id").alias("root_conv"), F.coalesce("rt", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth"),
     )
 

@@ -7,6 +7,8 @@ bytes of an archive's blocks in order are a plain ``.warc.gz`` file.  The index
 offset, length, URL and payload digest of every record.  A read joins selected
 index rows to blocks only after sorting them by offset and merging ranges that
 lie within a gap of each other, so a block is fetched once for all its records.
+The table is written in small row groups, in order of archive and offset: a selection
+from few blocks names them to the scan, which skips all others by their statistics.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from tidemark.llm.common import cut, small_batches
 
 BLOCK = 256 * 1024
 ARCHIVE = 64 * BLOCK
+#: Bytes of a row group, and how many blocks a selection may name to the scan.
+ROW_GROUP, NAMED = 16 * BLOCK, 1000
 GAP = 4096
 _DATE = "1970-01-01T00:00:00Z"
 _BLOCKS = "archive string, at long, data binary, records array<struct<offset:bigint,length:bigint,page_id:bigint,url:string,digest:string,record_type:string>>"
@@ -107,7 +111,7 @@ def write(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         if have:
             yield block()
 
-    both = cut(rows.mapInArrow(run, _BLOCKS), "warc-archives")
+    both = cut(rows.mapInArrow(run, _BLOCKS), "warc-archives", **{"parquet.block.size": ROW_GROUP})
     index = both.select("archive", F.col("at").alias("block"), F.inline("records"))
     return both.select("archive", "at", "data"), cut(index, "warc-index")
 
@@ -133,6 +137,9 @@ def read(blocks: DataFrame, selected: DataFrame, gap: int = GAP) -> DataFrame:
     """
     small_batches(blocks.sparkSession, rows=64)
     wanted = ranges(selected, gap)
+    few = selected.select("archive", "block").distinct().limit(NAMED + 1).collect()
+    if len(few) <= NAMED:
+        blocks = blocks.where(F.col("archive").isin(sorted({r[0] for r in few})) & F.col("at").isin(sorted({r[1] for r in few})))
     data = blocks.join(wanted.withColumnRenamed("block", "at"), ["archive", "at"])
     piece = F.expr("substring(data, cast(start - at + 1 as int), cast(stop - start as int))")
     asked = data.select(piece.alias("bytes"), F.transform("records", lambda r: F.struct((r["offset"] - F.col("start")).alias("o"), r["length"].alias("n"))).alias("records"))
