@@ -17,9 +17,10 @@ def _least(pairs: DataFrame, name: str) -> DataFrame:
     """Per node ``a`` the least of itself and its neighbours ``b``.
 
     It is written out, so that the join on it has a shuffle on both sides that
-    Spark may split where a node has very many neighbours.
+    Spark may split where a node has very many neighbours; as it grows with the
+    corpus, it is never broadcast.
     """
-    return cut(pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
+    return cut(pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name).hint("merge")
 
 
 def components(edges: DataFrame) -> DataFrame:

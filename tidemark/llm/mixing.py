@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, cut
@@ -37,11 +37,15 @@ class Mix:
     chunk: int = 4096
 
 
+def order_of(own: Column, text: Column, mix: Mix) -> Column:
+    """A document's place in its source's shuffle; only rows that repeat id and text share one."""
+    return F.md5(F.concat_ws("|", F.lit(mix.seed), F.coalesce(own.cast("string"), F.lit("")), F.md5(text.cast("binary"))).cast("binary"))
+
+
 def sizes(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = F.col(id_col).cast("long")
-    order = F.md5(F.concat_ws("|", F.lit(mix.seed), F.coalesce(own.cast("string"), F.lit("")), F.md5(text.cast("binary"))).cast("binary"))
-    return docs.select(*keep, own.alias("doc_id"), F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), order.alias("order"))
+    return docs.select(*keep, own.alias("doc_id"), F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), order_of(own, text, mix).alias("order"))
 
 
 def targets(stats: DataFrame, mix: Mix) -> DataFrame:
@@ -112,14 +116,15 @@ def schedule(placed: DataFrame, goals: DataFrame, mix: Mix) -> DataFrame:
     pieces = pieces.select("source", "start", "block", offset.alias("offset"), (F.least(F.col("__e"), (F.col("block") + 1) * mix.block) - offset).alias("words"))
     plan = slots(goals, mix).select(F.col("source").alias("__s"), F.col("block").alias("__b"), "time")
     same = F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") == F.col("__b"))
-    return pieces.join(plan, same).select("source", "start", "time", "offset", "words")
+    # the schedule grows with the corpus: it is never broadcast
+    return pieces.join(plan.hint("merge"), same).select("source", "start", "time", "offset", "words")
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """What the mix takes of every document, repeats counted.
 
-    Returns ``keep``, ``doc_id``, ``source``, ``size``, ``source_size``, ``target``
-    and ``taken``.  Null and empty texts have size 0 and nothing is taken of them;
+    Returns ``keep``, ``doc_id``, ``source``, ``size``, ``order`` (the document's place
+    in its source's shuffle), ``source_size``, ``target`` and ``taken``.  Null and empty texts have size 0 and nothing is taken of them;
     null sources are one source, the last; rows that repeat share their place in
     the shuffle and are taken one after the other; an empty table gives an empty
     one; other columns are ignored.
@@ -132,4 +137,4 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     own = goals.select(F.col("source").alias("__g"), "source_size", "target")
     rows = placed.join(taken, F.col("source").eqNullSafe(F.col("__s")) & (F.col("start") == F.col("__a")) & (F.col("size") > 0), "left")
     rows = rows.join(own, F.col("source").eqNullSafe(F.col("__g")))
-    return rows.select(*keep, "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return rows.select(*keep, "doc_id", "source", "size", "order", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))

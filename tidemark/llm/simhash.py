@@ -115,7 +115,7 @@ def groups(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col: str = "do
     tree = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = cut(tree.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-least")
     named = cut(tree.join(least, "root").select("fp", "component_id"), "simhash-named")
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(named.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 # Fixed values of the similarity rule: 32 bands of 4 least hashes.  A pair with a
@@ -146,15 +146,36 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return cut(both.where(F.col("c") >= F.lit(least) * (F.col("n") - F.col("c")) - 1e-9).select("a", "b"), "similar-links")
 
 
+#: Parts by hash in which shared shingles are counted.
+PARTS = 64
+
+
+def _shared(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """``sk``, how many of its shingles some other set of ``rest`` has, too, and ``parts``, how
+    many of those fall into each part of the hashes.
+
+    Two sets have no more in common than the sum of the lesser counts of all parts."""
+    grams = sets.join(rest.select("sk").distinct(), "sk", "left_semi").select("sk", F.explode("hashes").alias("h"))
+    known = grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    part = F.pmod("h", F.lit(PARTS))
+    both = grams.join(known.hint("shuffle_hash"), "h", "left_semi").groupBy("sk").agg(F.count("*").alias("shared"), *[F.count_if(part == i).alias(f"p{i}") for i in range(PARTS)])
+    return cut(both.select("sk", "shared", F.array(*[F.col(f"p{i}").cast("int") for i in range(PARTS)]).alias("parts")), "similar-shared")
+
+
 def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``component_id`` (as in ``groups``) under chains of similar texts.
 
     Two texts are linked if the sets of their shingles have a Jaccard similarity of
     ``least`` or more, which is computed exactly for all pairs that share a band.
     (Covering masks would need ``2 ** (radius + 1) - 1`` tables, and similarities of
-    0.8 are 10 bits apart on average.)  Equal sets are one class; the members of a
-    band are held against its least one first, and then all against each other
-    that aren't in one component yet, so a large group makes no square of pairs.
+    0.8 are 10 bits apart on average.)  Equal sets are one class.  The members of a
+    band are held against its most central one first, the one that meets most others
+    over all bands: a group of copies of one text lies around it.  What that leaves in
+    different components of a band is held against each other, unless counts show
+    that it can't be similar: two sets need ``least / (1 + least)`` of their sizes' sum
+    in common, shingles that no other set has aren't in common, and of those in one
+    part of the hashes no more than the lesser number is.  So a large group makes no
+    square of pairs, and no link is lost.
     """
     small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -174,20 +195,28 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     signed = cut(own.mapInArrow(sign, "doc_id long, sk long, n long, bands array<long>"), "similar-signed")
     classes = cut(signed.groupBy("sk").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "similar-classes")
     banded = classes.select("sk", "n", F.posexplode("bands").alias("t", "key"))
-    full = cut(banded.groupBy("t", "key").agg(F.count("*").alias("m"), F.min("sk").alias("hub")).where("m > 1").select("t", "key", "hub"), "similar-bands")
+    full = cut(banded.groupBy("t", "key").agg(F.count("*").alias("m")).where("m > 1"), "similar-bands")
     members = cut(banded.join(full, ["t", "key"]), "similar-members")
-    wanted = cut(members.select("sk").distinct().join(classes.select("sk", "rep"), "sk"), "similar-wanted")
+    met = cut(members.groupBy("sk").agg(F.sum("m").alias("met")), "similar-met")
+    wanted = cut(met.select("sk").join(classes.select("sk", "rep"), "sk"), "similar-wanted")
     texts = own.join(wanted, F.col("doc_id") == F.col("rep")).select("sk", "text")
     sets = cut(texts.mapInArrow(expand, "sk long, hashes array<long>").dropDuplicates(["sk"]), "similar-sets")
-    first = _similar(members.where("sk <> hub").select(F.col("sk").alias("a"), F.col("hub").alias("b")).distinct(), sets, least)
+    placed = members.join(met, "sk")
+    hubs = cut(placed.groupBy("t", "key").agg(F.max(F.struct("met", "sk", "n")).alias("h")).select("t", "key", F.col("h.sk").alias("b"), F.col("h.n").alias("nb")), "similar-hubs")
+    sized = lambda x, y: F.least(x, y) >= F.lit(least) * F.greatest(x, y) - 1e-9
+    spokes = members.join(hubs, ["t", "key"]).where((F.col("sk") != F.col("b")) & sized(F.col("n"), F.col("nb")))
+    first = _similar(spokes.select(F.col("sk").alias("a"), "b").distinct(), sets, least)
     named = members.join(components(first).withColumnRenamed("node", "sk"), "sk", "left").select("t", "key", "sk", "n", F.coalesce("root", "sk").alias("root"))
     named = cut(named, "similar-named")
     split = cut(named.groupBy("t", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t", "key"), "similar-split")
-    rest = cut(named.join(split, ["t", "key"]), "similar-rest")
-    ours, theirs = rest.toDF("t", "key", "a", "na", "ra"), rest.toDF("t", "key", "b", "nb", "rb")
-    close = F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb") - 1e-9
+    rest = named.join(split, ["t", "key"])
+    rest = cut(rest.join(_shared(rest, sets), "sk").where(F.col("shared") >= F.lit(least) * F.col("n") - 1e-9).select("t", "key", "sk", "n", "shared", "root", "parts"), "similar-rest")
+    ours, theirs = rest.toDF("t", "key", "a", "na", "ca", "ra", "pa"), rest.toDF("t", "key", "b", "nb", "cb", "rb", "pb")
+    needed = F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-9
+    common = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    close = sized(F.col("na"), F.col("nb")) & (F.least("ca", "cb") >= needed) & (common >= needed)
     second = _similar(ours.join(theirs, ["t", "key"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & close).select("a", "b").distinct(), sets, least)
     linked = components(first.unionByName(second))
     tree = cut(classes.select("sk", "rep").join(linked.withColumnRenamed("node", "sk"), "sk", "left").select("sk", "rep", F.coalesce("root", "sk").alias("root")), "similar-tree")
     low = cut(tree.groupBy("root").agg(F.min("rep").alias("component_id")), "similar-least")
-    return signed.select("doc_id", "sk").join(cut(tree.join(low, "root").select("sk", "component_id"), "similar-ids"), "sk").select("doc_id", "component_id")
+    return signed.select("doc_id", "sk").join(cut(tree.join(low, "root").select("sk", "component_id"), "similar-ids").hint("merge"), "sk").select("doc_id", "component_id")
