@@ -142,8 +142,8 @@ def bands(hashes: np.ndarray) -> list[int]:
 def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose sets have a Jaccard similarity of ``least`` or more."""
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("c"))
-    return cut(both.where(F.col("c") >= F.lit(least) * (F.col("n") - F.col("c")) - 1e-9).select("a", "b"), "similar-links")
+    both = both.select(*pairs.columns, (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("c"))
+    return cut(both.where(F.col("c") >= F.lit(least) * (F.col("n") - F.col("c")) - 1e-9).select(*pairs.columns), "similar-links")
 
 
 #: Parts by hash in which shared shingles are counted.
@@ -206,7 +206,8 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     sized = lambda x, y: F.least(x, y) >= F.lit(least) * F.greatest(x, y) - 1e-9
     spokes = members.join(hubs, ["t", "key"]).where((F.col("sk") != F.col("b")) & sized(F.col("n"), F.col("nb")))
     first = _similar(spokes.select(F.col("sk").alias("a"), "b").distinct(), sets, least)
-    named = members.join(components(first).withColumnRenamed("node", "sk"), "sk", "left").select("t", "key", "sk", "n", F.coalesce("root", "sk").alias("root"))
+    roots = cut(components(first).toDF("sk", "root"), "similar-roots")
+    named = members.join(roots, "sk", "left").select("t", "key", "sk", "n", F.coalesce("root", "sk").alias("root"))
     named = cut(named, "similar-named")
     split = cut(named.groupBy("t", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t", "key"), "similar-split")
     rest = named.join(split, ["t", "key"])
@@ -215,8 +216,9 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     needed = F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-9
     common = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     close = sized(F.col("na"), F.col("nb")) & (F.least("ca", "cb") >= needed) & (common >= needed)
-    second = _similar(ours.join(theirs, ["t", "key"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & close).select("a", "b").distinct(), sets, least)
-    linked = components(first.unionByName(second))
-    tree = cut(classes.select("sk", "rep").join(linked.withColumnRenamed("node", "sk"), "sk", "left").select("sk", "rep", F.coalesce("root", "sk").alias("root")), "similar-tree")
+    second = _similar(ours.join(theirs, ["t", "key"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & close).select("a", "b", "ra", "rb").distinct(), sets, least)
+    higher = cut(components(second.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("low", "high"), "similar-roots")  # of the components so far
+    tree = classes.select("sk", "rep").join(roots, "sk", "left").select("sk", "rep", F.coalesce("root", "sk").alias("low"))
+    tree = cut(tree.join(higher, "low", "left").select("sk", "rep", F.coalesce("high", "low").alias("root")), "similar-tree")
     low = cut(tree.groupBy("root").agg(F.min("rep").alias("component_id")), "similar-least")
     return signed.select("doc_id", "sk").join(cut(tree.join(low, "root").select("sk", "component_id"), "similar-ids").hint("merge"), "sk").select("doc_id", "component_id")
