@@ -305,11 +305,11 @@ def test_encoding(spark, odd):
 def test_long_chunks_without_a_blank(spark):
     model = pieces.Model.load(MODEL)
     rng = random.Random(9)
-    texts = ["".join(rng.choices("etaoinshrdlu", k=100_000)), "".join(chr(rng.randrange(0x3041, 0x3094)) + rng.choice(["", "☃", "𝄞"]) for _ in range(20_000))]
+    texts = ["".join(rng.choices("etaoinshrdlu", k=6_000)), "".join(chr(rng.randrange(0x3041, 0x3094)) + rng.choice(["", "☃", "𝄞"]) for _ in range(600))]
     some = texts[0][:1500]
     df = spark.createDataFrame(list(enumerate([*texts, some])), "doc_id long, text string")
     rows = {r.doc_id: r for r in pieces.digests(df, model).collect()}
-    assert all(r.exact and r.n_chunks == 1 for r in rows.values()) and rows[0].n_tokens > 20_000
+    assert all(r.exact and r.n_chunks == 1 for r in rows.values()) and rows[0].n_tokens > 1_000
     table = {p: (i, s) for p, i, s in model.matching}
     got = pieces.gather(pieces.encode(df.where("doc_id = 2"), model)).first().ids
     assert got == brute_viterbi("▁" + some, table, (0, model.unknown_score))
