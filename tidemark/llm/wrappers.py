@@ -97,6 +97,8 @@ class Shape:
 
 
 _FULL = 1 << 20
+#: Tables of so many cells are lists, larger ones arrays; both hold the same numbers.
+_CELLS = 1024
 
 
 def _rows(weights: list[np.ndarray], first: np.ndarray) -> list[np.ndarray]:
@@ -104,6 +106,13 @@ def _rows(weights: list[np.ndarray], first: np.ndarray) -> list[np.ndarray]:
     out = [first]
     for w in weights:
         last = out[-1]
+        if isinstance(w, list):
+            row, left = [0], 0
+            for k, x in enumerate(w):
+                left = max(last[k + 1], last[k] + x, left)
+                row.append(left)
+            out.append(row)
+            continue
         row = last.copy()
         np.maximum(last[1:], last[:-1] + w, out=row[1:])
         out.append(np.maximum.accumulate(row))
@@ -116,7 +125,7 @@ def _best(weights: list[np.ndarray], m: int) -> list[tuple[int, int]]:
     Rows are kept at every so many elements and made again from there on the way back,
     so memory grows with the length times its root only; the result is that of the whole table."""
     step = max(64, isqrt(len(weights)) + 1)
-    starts = [np.zeros(m + 1, np.int64)]
+    starts = [[0] * (m + 1) if isinstance(weights[0], list) else np.zeros(m + 1, np.int64)]
     for at in range(0, len(weights) - step, step):
         starts.append(_rows(weights[at : at + step], starts[-1])[-1])
     found, j = [], m
@@ -147,17 +156,31 @@ def align(a: Shape, b: Shape) -> dict[int, int]:
     def apart(x: list[int], y: list[int]) -> list[tuple[int, int]]:
         """A pair of nodes for every pair of forms with one label that isn't counted yet."""
         ours, theirs = {a.form[i]: i for i in x}, {b.form[j]: j for j in y}
-        return [(i, j) for f, i in ours.items() for g, j in theirs.items() if a.label[i] == b.label[j] and (f, g) not in counted]
+        return [(i, j) for f, i in ours.items() if a.kids[i] for g, j in theirs.items() if f != g and a.label[i] == b.label[j] and b.kids[j] and (f, g) not in counted]
+
+    def value(i: int, j: int) -> int:
+        """Nodes that two subtrees match."""
+        if a.label[i] != b.label[j]:
+            return 0
+        if a.form[i] == b.form[j]:
+            return a.size[i]
+        return counted[a.form[i], b.form[j]] if a.kids[i] and b.kids[j] else 1
 
     def weigh(x: list[int], y: list[int], texts: bool) -> list[np.ndarray]:
         """A row of weights per element of ``x``; made once per form unless ``texts`` count."""
+        if len(x) * len(y) <= _CELLS:
+            rows = [[value(i, j) for j in y] for i in x]
+            if not texts:
+                return rows
+            own = [(b.text[j], b.whole[j]) for j in y]
+            return [[w and w * _FULL + (t == a.text[i] != 0) + (s == a.whole[i]) for w, (t, s) in zip(row, own, strict=True)] for i, row in zip(x, rows, strict=True)]
         made: dict[int, np.ndarray] = {}
         out = []
         text, whole = (np.array([v[j] for j in y], np.int64) for v in (b.text, b.whole)) if texts else (None, None)
         for i in x:
             f = a.form[i]
             if f not in made:
-                made[f] = np.array([counted.get((f, b.form[j]), 0) if a.label[i] == b.label[j] else 0 for j in y], np.int64)
+                made[f] = np.array([value(i, j) for j in y], np.int64)
             w = made[f]
             if texts:
                 w = w * _FULL + (w > 0) * ((text == a.text[i]) * bool(a.text[i]) + (whole == a.whole[i]))
@@ -171,10 +194,6 @@ def align(a: Shape, b: Shape) -> dict[int, int]:
             key = (a.form[i], b.form[j])
             if key in counted:
                 todo.pop()
-            elif key[0] == key[1]:
-                counted[key] = a.size[i]
-            elif not a.kids[i] or not b.kids[j]:
-                counted[key] = 1
             elif more := apart(a.kids[i], b.kids[j]):
                 todo += more
             else:
@@ -208,6 +227,8 @@ def align(a: Shape, b: Shape) -> dict[int, int]:
 
 def _last(weights: list[np.ndarray]) -> int:
     """The weight of the best match; two rows are kept."""
+    if isinstance(weights[0], list):
+        return _rows(weights, [0] * (len(weights[0]) + 1))[-1][-1]
     last = np.zeros(len(weights[0]) + 1, np.int64)
     for w in weights:
         row = last.copy()
