@@ -101,13 +101,14 @@ def link(messages: DataFrame, least: int = 3) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """Root and depth of every message with a parent, in rounds that halve what is left."""
+    """Root and depth of every message with a parent, in rounds that halve what is left; who has a root rests."""
     now = parents.select("conv_id", "turn", "pc", "pt", F.col("pc").alias("rc"), F.col("pt").alias("rt"), F.lit(1).cast("long").alias("depth"), F.lit(False).alias("done"))
     while not now.where("not done").isEmpty():
         up = now.select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), F.col("rc").alias("__rc"), F.col("rt").alias("__rt"), F.col("depth").alias("__d"))
-        step = now.join(up, (F.col("rc") == F.col("__c")) & (F.col("rt") == F.col("__t")), "left")
+        step = now.where("not done").join(up, (F.col("rc") == F.col("__c")) & (F.col("rt") == F.col("__t")), "left")
         more = F.col("__c").isNotNull()
-        now = cut(step.select("conv_id", "turn", "pc", "pt", F.coalesce("__rc", "rc").alias("rc"), F.coalesce("__rt", "rt").alias("rt"), F.when(more, F.col("depth") + F.col("__d")).otherwise(F.col("depth")).alias("depth"), (~more).alias("done")), "quote-roots")
+        step = step.select("conv_id", "turn", "pc", "pt", F.coalesce("__rc", "rc").alias("rc"), F.coalesce("__rt", "rt").alias("rt"), F.when(more, F.col("depth") + F.col("__d")).otherwise(F.col("depth")).alias("depth"), (~more).alias("done"))
+        now = cut(step.unionByName(now.where("done")), "quote-roots")
     return now.drop("done")
 
 
