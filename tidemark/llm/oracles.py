@@ -105,6 +105,28 @@ FROM d
 """
 
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS MATERIALIZED (SELECT lang, regexp_extract_all(unnest(ps), '[^\x20\x09]+') AS w FROM d),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*) AS a FROM (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 5)) AS m) WHERE len(w) >= m))
+  GROUP BY lang, m, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.m, k.a, k.k, l.a AS l, r.a AS r, (2000000::HUGEINT * k.a // (l.a + r.a))::BIGINT AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:k.k], ' ') JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, array_to_string(w[i:i + z - 1], ' ') AS phrase, max(a) AS over FROM (SELECT lang, a, w, m, z, unnest(range(1, m - z + 2)) AS i FROM c, (SELECT unnest(range(2, 4)) AS z) WHERE z < m) GROUP BY 1, 2),
+left_over AS (SELECT b.* FROM b LEFT JOIN inner_parts i USING (lang, phrase) WHERE i.over IS NULL OR 100::HUGEINT * i.over < 80::HUGEINT * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM left_over JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def _op9(floors: tuple[float, ...] = (0.15, 0.6, 0.75, 1.0), steps: int = 3) -> str:
     """The estimate unrolled: a common table per histogram, bound and set of moments."""
     dims = range(4)
@@ -151,4 +173,4 @@ def _op9(floors: tuple[float, ...] = (0.15, 0.6, 0.75, 1.0), steps: int = 3) ->
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quotation_linking": OP1, "op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5, "op9_quality_rules": _op9(), "op10_warc_index_first": OP10}
+    return {"op1_quotation_linking": OP1, "op3_mixing_to_target_weights": OP3, "op5_temporal_url_lists": OP5, "op9_quality_rules": _op9(), "op10_warc_index_first": OP10, "op11_phrase_collocations": OP11}
