@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, warc, wrappers
+from tidemark.llm import collocations, media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, variants, warc, wrappers
 from tidemark.llm.common import table
 
 
@@ -101,5 +101,9 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and k[2].isdigit()}
