@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, variants, warc, wrappers
+from tidemark.llm import additive, collocations, media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, variants, warc, wrappers
 from tidemark.llm.common import table
 
 
@@ -101,6 +101,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
