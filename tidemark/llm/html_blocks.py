@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -24,7 +26,11 @@ DROP_WORDS = frozenset(_NOISE.split())
 #: A page may name its main part with one of these words in class or id.
 MAIN_WORDS = frozenset("article main post entry content story".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_STOP = re.compile("[>\"']")
+#: Tags up to this length are matched at once; the rest are scanned for.
+_SHORT = 400
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
@@ -57,57 +63,119 @@ def _attributes(raw: str) -> tuple[str, frozenset, str, bool]:
     return label, frozenset(words), role, hidden
 
 
+_seen = lru_cache(4096)(_attributes)
+
+
+class Scanner:
+    """Finds where tags end, in time that grows with the page alone.
+
+    A tag ends at the first ``>`` outside quotes.  Where a scan ran into the page's end,
+    every scan that comes by one of its places does so, too; they are remembered."""
+
+    def __init__(self, page: str):
+        self.page, self.hopeless = page, set()
+
+    @cached_property
+    def stops(self) -> list[int]:
+        return [m.start() for m in _STOP.finditer(self.page)]
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose name ends at ``at``; -1 if there is none."""
+        passed: list[int] = []
+        while (k := bisect_left(self.stops, at)) < len(self.stops) and (stop := self.stops[k]) not in self.hopeless:
+            if self.page[stop] == ">":
+                return stop
+            passed.append(stop)
+            at = self.page.find(self.page[stop], stop + 1) + 1
+            if not at:
+                break
+        self.hopeless.update(passed)
+        return -1
+
+    def token(self, at: int) -> tuple[str, str, str, int] | None:
+        """What begins with the ``<`` at a place, if it has an end: ``/`` for an end tag, the name,
+        the rest of the tag, and where it ends.  Comments and declarations have no name, a
+        marked text has the rest alone."""
+        page, n = self.page, len(self.page)
+        if m := _TAG.match(page, at, at + _SHORT):
+            return m[1], m[2].lower(), m[3], m.end()
+        if m := _NAME.match(page, at):
+            close = self.end(m.end())
+            return (m[1], m[2].lower(), page[m.end() : close], close + 1) if close >= 0 else None
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            return "", "", "", end + 3 if end >= 0 else n
+        if page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9)
+            return "", "", page[at + 9 : end if end >= 0 else n], end + 3 if end >= 0 else n
+        if page.startswith(("<!", "<?"), at):
+            end = page.find(">", at + 2)
+            return "", "", "", end + 1 if end >= 0 else n
+        return None
+
+
+class Stack:
+    """Open elements, with the places of each tag and of the nearest block."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.blocks = [root], {}, [0]
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.places.setdefault(node.tag, []).append(at)
+        self.blocks.append(at if node.tag in BLOCK else self.blocks[-1])
+        self.nodes.append(node)
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost open element with one of the tags; 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def close(self, at: int) -> None:
+        """Close the element at a place and all inside it."""
+        for x in self.nodes[at:]:
+            self.places[x.tag].pop()
+        del self.nodes[at:], self.blocks[at:]
+
+
 def tree(page: str) -> Node:
-    """The element tree of a page; never fails, and unclosed elements end with their parent."""
+    """The element tree of a page; never fails, unclosed elements end with their parent, and the
+    time grows with the page's length.  What looks like a tag but has no end is text."""
     root = Node("#root", "#root")
-    stack, at, n = [root], 0, len(page)
-    while at < n:
-        m = _TOKEN.search(page, at)
-        start = m.start() if m else n
-        if start > at:
-            stack[-1].kids.append(page[at:start])
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                stack[-1].kids.append(m[0][9:].removesuffix("]]>"))
-            continue
-        if m[1]:
-            if any(x.tag == tag for x in stack):
-                while stack.pop().tag != tag:
-                    pass
-                if not stack:
-                    stack = [root]
-            elif tag == "p":
-                stack[-1].kids.append(Node("p", "p"))
-            elif tag == "br":
-                stack[-1].kids.append(Node("br", "br"))
-            continue
-        if tag in BLOCK and any(x.tag == "p" for x in stack):
-            k = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == "p")
-            if not any(x.tag in BLOCK for x in stack[k + 1 :]):
-                del stack[k:]
-        if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in SCOPE.get(tag, ()):
-                    break
-                if stack[i].tag in CLOSES[tag]:
-                    del stack[i:]
-                    break
-        raw = m[3] or ""
-        label, words, role, hidden = _attributes(raw) if raw.strip(" /") else ("", frozenset(), "", False)
-        node = Node(tag, tag + label, words, role, hidden)
-        stack[-1].kids.append(node)
-        if tag in VOID or raw.endswith("/"):
+    stack, scanner = Stack(root), Scanner(page)
+    at, found, n = 0, page.find("<"), len(page)
+    while found >= 0:
+        token = scanner.token(found)
+        if not token:
+            found = page.find("<", found + 1)
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            node.kids.append(page[at : end.start() if end else n])
-            at = end.end() if end else n
-            continue
-        stack.append(node)
+        if found > at:
+            stack.nodes[-1].kids.append(page[at:found])
+        slash, tag, raw, at = token
+        if not tag:
+            if raw:
+                stack.nodes[-1].kids.append(raw)
+        elif slash:
+            if place := stack.last(tag):
+                stack.close(place)
+            elif tag in ("p", "br"):
+                stack.nodes[-1].kids.append(Node(tag, tag))
+        else:
+            if tag in BLOCK and stack.nodes[stack.blocks[-1]].tag == "p":
+                stack.close(stack.blocks[-1])
+            if tag in CLOSES and (place := stack.last(*CLOSES[tag])) > stack.last(*SCOPE.get(tag, ())):
+                stack.close(place)
+            label, words, role, hidden = (_seen if len(raw) <= _SHORT else _attributes)(raw) if raw.strip(" /") else ("", frozenset(), "", False)
+            node = Node(tag, tag + label, words, role, hidden)
+            stack.nodes[-1].kids.append(node)
+            if tag in RAW:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                node.kids.append(page[at : end.start() if end else n])
+                at = end.end() if end else n
+            elif tag not in VOID and not raw.endswith("/"):
+                stack.push(node)
+        found = page.find("<", at)
+    if at < n:
+        stack.nodes[-1].kids.append(page[at:])
     return root
 
 
@@ -118,32 +186,27 @@ def dropped(node: Node) -> bool:
 def main_part(root: Node) -> list[Node]:
     """The page's ``article`` or ``main`` elements outside dropped parts, outermost first, else its root."""
     articles: list[Node] = []
-    mains: list[Node] = []
-    todo = [k for k in reversed(root.kids) if not isinstance(k, str)]
+    mains: list[tuple[Node, int]] = []  # with the place of the main around it
+    full: set[int] = set()  # places of mains that hold an article
+    todo = [(k, -1) for k in reversed(root.kids) if not isinstance(k, str)]
     while todo:
-        k = todo.pop()
+        k, around = todo.pop()
         if dropped(k):
             continue
         if k.tag == "article" or k.role == "article":
             articles.append(k)
+            while around >= 0 and around not in full:
+                full.add(around)
+                around = mains[around][1]
             continue
         if k.tag == "main" or k.role == "main":
-            mains.append(k)
-        todo += [x for x in reversed(k.kids) if not isinstance(x, str)]
-    alone = [m for m in mains if not any(_within(a, m) for a in articles)]
+            mains.append((k, around))
+            around = len(mains) - 1
+        todo += [(x, around) for x in reversed(k.kids) if not isinstance(x, str)]
+    alone = [m for i, (m, _) in enumerate(mains) if i not in full]
     return articles + alone if articles and not alone else articles or alone or [root]
 
 
-def _within(node: Node, top: Node) -> bool:
-    todo = [top]
-    while todo:
-        x = todo.pop()
-        if x is node:
-            return True
-        todo += [k for k in x.kids if isinstance(k, Node)]
-    return False
-
-
 def clean(runs: list[str]) -> str:
     """Runs of one block: references decoded, white space turned into single spaces, trimmed."""
     return _SPACE.sub(" ", "".join([html.unescape(r) if "&" in r else r for r in runs])).strip()
