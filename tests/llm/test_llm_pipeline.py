@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline as c
 from test_advice_r01 import brute_kept
-from tidemark.llm import quality
+from tidemark.llm import quality, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -52,3 +53,40 @@ def test_mix_repeats_documents_as_the_operator_takes_them(spark):
 def test_row_keys_mark_nulls(spark):
     rows = spark.createDataFrame([(1, None, "x"), (1, "x", None), (1, "", "x"), (1, "x", ""), (11, "x", ""), (1, "1:x", "")], "a int, b string, c string")
     assert rows.select(c.row_key(F.col("a"), F.col("b"), F.col("c")).alias("k")).distinct().count() == 6
+
+
+def _similar(a, b):
+    x, y = (set(zip(*[t.split()[i:] for i in range(5)], strict=False)) for t in (a, b))
+    return len(x & y) >= 0.8 * len(x | y)
+
+
+def test_repeated_ids_with_other_texts_keep_their_links(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for i in range(20):
+        for k in range(2):
+            text = [word() for _ in range(60)]
+            rows.append((i, " ".join(text)))
+            rows.append((1000 + 2 * i + k, " ".join([*text[:-1], "other"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {}
+    for r in simhash.similar(docs).collect():
+        got.setdefault(r.doc_id, set()).add(r.component_id)
+    assert all(got[i] == {i} for i in range(20)) and all(got[1000 + j] == {j // 2} for j in range(40))
+
+
+def test_texts_with_one_boilerplate_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    shared = [word() for _ in range(160)]
+    texts = [" ".join([*shared, *[word() for _ in range(38)]]) for _ in range(300)]
+    texts += [t + " more" for t in texts[:20]]
+    seen = []
+    held = simhash._similar
+    monkeypatch.setattr(simhash, "_similar", lambda pairs, sets, least: (seen.append(pairs.count()), held(pairs, sets, least))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar(docs).collect()}
+    assert not any(_similar(texts[i], texts[j]) for i in range(0, 40) for j in range(i))
+    assert got == {i: i - 300 if i >= 300 else i for i in range(320)}
+    assert seen[1] < 1000, seen

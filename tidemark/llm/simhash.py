@@ -131,6 +131,11 @@ def shingles(data: bytes | None, shingle: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams)))
 
 
+def key(hashes: np.ndarray) -> int:
+    """Signed key of a set of shingles; no shingle: 0."""
+    return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)) if len(hashes) else 0
+
+
 def bands(hashes: np.ndarray) -> list[int]:
     """Signed keys of the bands of a set of shingles."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
@@ -150,16 +155,22 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 PARTS = 64
 
 
-def _shared(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """``sk``, how many of its shingles some other set of ``rest`` has, too, and ``parts``, how
-    many of those fall into each part of the hashes.
+def _shared(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``sk``; how many of its shingles some other set of ``rest`` has, too; ``parts``, how many
+    of those fall into each part of the hashes; and ``rare``, those of its prefix.
 
-    Two sets have no more in common than the sum of the lesser counts of all parts."""
-    grams = sets.join(rest.select("sk").distinct(), "sk", "left_semi").select("sk", F.explode("hashes").alias("h"))
-    known = grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    Two sets have no more in common than the sum of the lesser counts of all parts.  A set's
+    prefix is the ``n - ceil(least n) + 1`` shingles that the fewest sets have, ties by hash:
+    two similar sets share one of both prefixes (those that no other set has come first
+    and are shared with none)."""
+    sized = rest.select("sk", "n").distinct()
+    grams = sets.join(sized, "sk").select("sk", "n", F.explode("hashes").alias("h"))
+    known = cut(grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "similar-known")
     part = F.pmod("h", F.lit(PARTS))
-    both = grams.join(known.hint("shuffle_hash"), "h", "left_semi").groupBy("sk").agg(F.count("*").alias("shared"), *[F.count_if(part == i).alias(f"p{i}") for i in range(PARTS)])
-    return cut(both.select("sk", "shared", F.array(*[F.col(f"p{i}").cast("int") for i in range(PARTS)]).alias("parts")), "similar-shared")
+    found = grams.join(known.hint("shuffle_hash"), "h").groupBy("sk", "n").agg(F.count("*").alias("shared"), F.collect_list(F.struct("c", "h")).alias("hs"), *[F.count_if(part == i).alias(f"p{i}") for i in range(PARTS)])
+    prefix = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.col("shared"))
+    rare = F.transform(F.slice(F.sort_array("hs"), F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")), lambda x: x["h"])
+    return cut(found.select("sk", "shared", F.array(*[F.col(f"p{i}").cast("int") for i in range(PARTS)]).alias("parts"), rare.alias("rare")), "similar-shared")
 
 
 def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,12 +181,15 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     (Covering masks would need ``2 ** (radius + 1) - 1`` tables, and similarities of
     0.8 are 10 bits apart on average.)  Equal sets are one class.  The members of a
     band are held against its most central one first, the one that meets most others
-    over all bands: a group of copies of one text lies around it.  What that leaves in
-    different components of a band is held against each other, unless counts show
-    that it can't be similar: two sets need ``least / (1 + least)`` of their sizes' sum
-    in common, shingles that no other set has aren't in common, and of those in one
-    part of the hashes no more than the lesser number is.  So a large group makes no
-    square of pairs, and no link is lost.
+    over all bands: a group of copies of one text lies around it.  Bands that this leaves
+    in several components give their members to a second round, which joins their rare
+    prefixes: similar sets share a shingle among the rarest ``n - ceil(least n) + 1`` of
+    each, so a passage that many of them have brings no two together.  Pairs are of different
+    components, and counts must allow them: two sets need ``least / (1 + least)`` of
+    their sizes' sum in common, shingles that no other set has aren't in common, and of
+    those in one part of the hashes no more than the lesser number is.
+
+    Rows that repeat an id may have other texts: each is in a class of its own text.
     """
     small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -183,14 +197,15 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            keys = [_signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) if len(x) else 0 for x in sets]
+            keys = [key(x) for x in sets]
             signed = pa.array([bands(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), signed], ["doc_id", "sk", "n", "bands"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t, shingle).astype(np.int64) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["sk", "hashes"])
+            sets = [shingles(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            own = [(k, x.astype(np.int64)) for k, x in zip(b.column(0).to_pylist(), sets, strict=True) if key(x) == k]  # an id may have other texts
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.int64()), pa.array([x for _, x in own], pa.list_(pa.int64()))], ["sk", "hashes"])
 
     signed = cut(own.mapInArrow(sign, "doc_id long, sk long, n long, bands array<long>"), "similar-signed")
     classes = cut(signed.groupBy("sk").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "similar-classes")
@@ -211,12 +226,19 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     named = cut(named, "similar-named")
     split = cut(named.groupBy("t", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t", "key"), "similar-split")
     rest = named.join(split, ["t", "key"])
-    rest = cut(rest.join(_shared(rest, sets), "sk").where(F.col("shared") >= F.lit(least) * F.col("n") - 1e-9).select("t", "key", "sk", "n", "shared", "root", "parts"), "similar-rest")
-    ours, theirs = rest.toDF("t", "key", "a", "na", "ca", "ra", "pa"), rest.toDF("t", "key", "b", "nb", "cb", "rb", "pb")
+    rest = rest.select("sk", "n", "root").distinct()
+    rest = cut(rest.join(_shared(rest, sets, least), "sk").where(F.col("shared") >= F.lit(least) * F.col("n") - 1e-9), "similar-rest")
+    posted = cut(rest.select(F.explode("rare").alias("h"), "sk", "n", "shared", "root", "parts"), "similar-posted")
+    per = posted.groupBy("h", "root").agg(F.count("*").alias("c")).groupBy("h").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
+    posted = cut(posted.join(cut(per.where("roots > 1").select("h", "main"), "similar-mains"), "h"), "similar-posted")
+    # no pair is within a component, so members of a shingle's main one are on one side only
+    ours = posted.where("root <> main").select("h", *[F.col(c).alias(f"{c}a") for c in ("sk", "n", "shared", "root", "parts")])
+    theirs = posted.select("h", *[F.col(c).alias(f"{c}b") for c in ("sk", "n", "shared", "root", "parts")])
     needed = F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-9
-    common = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    close = sized(F.col("na"), F.col("nb")) & (F.least("ca", "cb") >= needed) & (common >= needed)
-    second = _similar(ours.join(theirs, ["t", "key"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & close).select("a", "b", "ra", "rb").distinct(), sets, least)
+    common = F.aggregate(F.zip_with("partsa", "partsb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    close = sized(F.col("na"), F.col("nb")) & (F.least("shareda", "sharedb") >= needed) & (common >= needed)
+    pairs = ours.join(theirs, "h").where((F.col("roota") != F.col("rootb")) & close).select(F.least("ska", "skb").alias("a"), F.greatest("ska", "skb").alias("b"), F.least("roota", "rootb").alias("ra"), F.greatest("roota", "rootb").alias("rb"))
+    second = _similar(pairs.distinct(), sets, least)
     higher = cut(components(second.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("low", "high"), "similar-roots")  # of the components so far
     tree = classes.select("sk", "rep").join(roots, "sk", "left").select("sk", "rep", F.coalesce("root", "sk").alias("low"))
     tree = cut(tree.join(higher, "low", "left").select("sk", "rep", F.coalesce("high", "low").alias("root")), "similar-tree")
