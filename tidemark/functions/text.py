@@ -101,12 +101,6 @@ def matches_phrase(doc: Column, words: list[str]) -> Column:
     return F.contains(joined(doc), F.lit("\x01" + "\x01".join(words) + "\x01"))
 
 
-def rank(doc: Column, words: list[str]) -> Column:
-    """Documented stand-in for a search rank: share of the document's tokens that match."""
-    hits = F.size(F.filter(doc, lambda w: w.isin(*words)))
-    return F.when(F.size(doc) > 0, hits.cast("double") / F.size(doc)).otherwise(F.lit(0.0))
-
-
 # Tickers that are also common abbreviations.
 AMBIGUOUS = (
     "USD EUR GBP JPY CNY KRW THB SGD CAD AUD CHF VND CPI GDP PMI FDI ODA IMF WTO WHO ADB ETF IPO ESG EVN VAT BOT PPP CEO CFO AGM ATC ATO HCM NAV API SEA CNG LNG POS TOP NET VNX ABC SME OTC ROE ROA EPS DXY BTC ETH ECB FED BOJ BOE VN30 HNX30 VN100"

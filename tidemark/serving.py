@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
-from tidemark.operators import ordering, series
+from tidemark.operators import ordering, postings, series
 
 # Wire names of the facts.
 WIRE = {
@@ -93,8 +93,9 @@ class Warehouse:
     event indicator observation break asset asset_price asset_ohlc article revision article_ticker
     article_industry metric``."""
 
-    def __init__(self, tables: dict[str, DataFrame]):
-        self.t = tables
+    def __init__(self, tables: dict[str, DataFrame], index: postings.Index | None = None):
+        """``index`` holds the revisions' texts (title, sapo and content); without one, a search scans them."""
+        self.t, self.index = tables, index
 
     def resolve(self, ticker: str) -> dict | Answer:
         """The security of a ticker, listed before others; else up to five similar listed tickers."""
@@ -333,22 +334,35 @@ class Warehouse:
         a = a.where(F.col("sub") == sub) if sub else a
         newest = self.t["revision"].groupBy("article_id").agg(F.max_by(F.struct("title", "sapo", "content"), "version").alias("r")).select("article_id", "r.*")
         rows = between(a, "day", from_date, to_date).join(newest, "article_id")
-        n, more, order = ordering.limit_of(limit, 15, 100), {}, [F.col("day").desc(), F.col("article_id").desc()]
+        n, order = ordering.limit_of(limit, 15, 100), [F.col("day").desc(), F.col("article_id").desc()]
+        columns = ("article_id", "day", "primary_source", "group_no", "sub", "title", "sapo")
         if query:
             words = [w for w in "".join(c.lower() if c.isalnum() else " " for c in _plain(query)).split() if w]
-            rows = rows.withColumn("words", text.tokens(text.unaccent(F.concat_ws(" ", "title", "sapo", "content"))))
-            for how, test in (("cum", text.matches_phrase), ("tu_khoa", text.matches_all)):
-                hit = rows.where(test(F.col("words"), words))
-                if not hit.isEmpty():
+            for how in ("cum", "tu_khoa"):
+                hits = self._hits(rows, words, how == "cum")
+                if not hits.rows.isEmpty():
                     break
             else:
                 return empty(total=0, search="cum")
-            rows, more, order = hit.withColumn("score", text.rank(F.col("words"), words)), {"search": how}, [F.col("score").desc(), *order]
+            total = hits.rows.count()
+            shown = hits.top(n, *order).select(*columns)
+            return data(shown, min(total, n), total=total, truncated=total > n, search=how)
         total = rows.count()
         if not total:
             return empty(*_range(a, "day"))
-        shown = rows.orderBy(*order).limit(n).select("article_id", "day", "primary_source", "group_no", "sub", "title", "sapo")
-        return data(shown, min(total, n), total=total, truncated=total > n, **more)
+        shown = rows.orderBy(*order).limit(n).select(*columns)
+        return data(shown, min(total, n), total=total, truncated=total > n)
+
+    def _hits(self, rows: DataFrame, words: list[str], phrase: bool) -> postings.Hits:
+        """Those of the articles ``rows`` that have all words, by the index or by a scan."""
+        if self.index is not None:
+            hits = self.index.search(words, phrase)
+            return postings.Hits(rows.join(hits.rows.withColumn("article_id", F.col("id")), "article_id"), hits.tokens)
+        tokens = text.tokens(text.unaccent(F.concat_ws(" ", "title", "sapo", "content")))
+        rows = rows.select("*", F.col("article_id").alias("id"), tokens.alias("words"))
+        rows = rows.where((text.matches_phrase if phrase else text.matches_all)(F.col("words"), words))
+        own = sorted(set(words))
+        return postings.Hits(rows.withColumns({f"p{i}": postings.places_of(F.col("words"), w) for i, w in enumerate(own)}), own)
 
 
 def _plain(query: str) -> str:
