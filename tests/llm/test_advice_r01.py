@@ -123,3 +123,12 @@ def test_surrogates_differ_across_kinds(spark):
     found = spark.createDataFrame([("ssn", f"{i:03d}-00-0000", None) for i in range(300)] + [("other", f"{i:03d}-00-0001", None) for i in range(300)], "kind string, value string, gender string")
     got = surrogates.assign(found).collect()
     assert len(got) == 600 == len({r.surrogate for r in got}) and not {r.surrogate for r in got} & {r.value for r in got}
+
+
+def test_forms_that_are_used_up_grow(spark):
+    """All mails of two letters at one domain, and more local numbers than fit beside each other."""
+    mails = [f"{a}{b}@y.de" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    found = spark.createDataFrame([("email", m, None) for m in mails], "kind string, value string, gender string")
+    got = {r.value: r.surrogate for r in surrogates.assign(found).collect()}
+    assert got.keys() == set(mails) and len(set(got.values())) == len(mails) and not set(got.values()) & set(mails)
+    assert all(v.endswith(".de") and "@" in v for v in got.values())

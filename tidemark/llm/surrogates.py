@@ -62,7 +62,8 @@ _NUMERIC = ("ip", "card", "ssn", "phone")
 PATTERN = "|".join([KINDS["email"], "(?=[0-9+(])(?:" + "|".join(KINDS[k] for k in _NUMERIC) + ")", *[v for k, v in KINDS.items() if k not in (*_NUMERIC, "email")]])
 #: What a text with an entity has: a digit, an @, a title or the start of a key.
 MAY = r"[0-9@]|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{36}|sk-[A-Za-z]{20}|xox[abprs]-[A-Za-z-]{10}|[a-f]{32}|[A-F]{32}"
-ATTEMPTS = 64
+#: Attempts at a surrogate of the same length, and at any.
+ROOMY, ATTEMPTS = 8, 64
 KEY = "tidemark-demo-key"
 
 
@@ -164,12 +165,15 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
         F.regexp_extract(value, r"^(?:\+(?:1|[0-9]{1,3}(?=[ .(-])|[0-9]{2})|\(?0)?[ .(-]*", 0).alias("__code"),
     )
     seed = F.col("__seed")
+    # forms of few shapes grow: a character more with every second attempt past ROOMY
+    more = F.greatest(F.floor((F.col("attempt") - ROOMY) / 2).cast("int") + 1, F.lit(0))
+    longer = lambda x, c: F.concat(x, F.repeat(F.lit(c), more))
     domain = _shaped(F.col("__domain"), F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.col("__domain")), 256))
     octets = [F.lit(1) + _pick(seed, 0, 223), *[_pick(seed, i, 256) for i in (1, 2)], F.lit(1) + _pick(seed, 3, 254)]
     # country code and separators stay; the first digit after them is 2 to 9
-    phone = F.concat(F.col("__code"), _char("23456789", seed, F.lit(-1)), _shaped(F.expr("substring(value, length(__code) + 2)"), seed))
+    phone = F.concat(F.col("__code"), _char("23456789", seed, F.lit(-1)), _shaped(longer(F.expr("substring(value, length(__code) + 2)"), "0"), seed))
     drawn = (
-        F.when(F.col("kind") == "email", F.concat(_shaped(F.substring_index(value, "@", 1), seed), F.lit("@"), domain, F.regexp_extract(value, r"\.[^.@]+$", 0)))
+        F.when(F.col("kind") == "email", F.concat(_shaped(longer(F.substring_index(value, "@", 1), "a"), seed), F.lit("@"), domain, F.regexp_extract(value, r"\.[^.@]+$", 0)))
         .when(F.col("kind") == "ip", F.concat_ws(".", *octets))
         .when(F.col("kind") == "phone", phone)
         .when(F.col("kind") == "card", _card(value, seed))
@@ -177,7 +181,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
         .when(F.col("kind") == "iban", _iban(value, seed))
         .when(F.col("kind") == "secret", F.concat(F.regexp_extract(value, r"^(?:AKIA|gh._|sk-|xox.-)", 0), _shaped(F.regexp_replace(value, r"^(?:AKIA|gh._|sk-|xox.-)", ""), seed)))
         .when(F.col("kind") == "name", _name(value, F.col("gender"), seed))
-        .otherwise(_shaped(value, seed))
+        .otherwise(_shaped(longer(value, "0"), seed))
     )
     return seeded.select("kind", "value", "gender", "attempt", drawn.alias("surrogate"))
 
@@ -200,7 +204,9 @@ def mentions(rows: DataFrame) -> DataFrame:
 def assign(found: DataFrame, key: str = KEY) -> DataFrame:
     """``kind``, ``value``, ``surrogate``: one row per distinct entity, all surrogates distinct.
 
-    A name that is addressed in both genders, or in none, gets an open ending.
+    A name that is addressed in both genders, or in none, gets an open ending.  Where
+    the texts use up the values of a form (mails of one letter, local numbers), mails,
+    numbers and names grow by some characters, so the attempts end.
     """
     both = F.count_distinct("gender")
     entities = cut(found.groupBy("kind", "value").agg(F.when(both == 1, F.max("gender")).alias("gender")), "pii-entities")
