@@ -25,10 +25,14 @@ def partials(ticks: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
+def combine(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Partial bars from partial ones: one per key."""
+    return parts.groupBy(*keys).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max("h").alias("h"), F.min("l").alias("l"), F.sum("v").alias("v"), F.sum("val").cast("decimal(38,2)").alias("val"), F.sum("v_bu").alias("v_bu"), F.sum("v_sd").alias("v_sd"))
+
+
 def merge(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Final bars from partial ones: ``o h l c v val v_bu v_sd`` per key."""
-    m = parts.groupBy(*keys).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max("h").alias("h"), F.min("l").alias("l"), F.sum("v").alias("v"), F.sum("val").alias("val"), F.sum("v_bu").alias("v_bu"), F.sum("v_sd").alias("v_sd"))
-    return m.select(*keys, F.col("first.p").alias("o"), "h", "l", F.col("last.p").alias("c"), "v", F.col("val").cast("decimal(38,2)").alias("val"), "v_bu", "v_sd")
+    return combine(parts, keys).select(*keys, F.col("first.p").alias("o"), "h", "l", F.col("last.p").alias("c"), "v", "val", "v_bu", "v_sd")
 
 
 def bars(ticks: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

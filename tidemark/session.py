@@ -10,13 +10,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: UTC sessions, ANSI casts, adaptive execution with skew handling.
+#: UTC sessions, ANSI casts, adaptive execution with skew handling, and the state store of streams.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # state of streams lies in files beside the checkpoint, entry by entry
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

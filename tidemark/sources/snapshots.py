@@ -6,8 +6,15 @@ retention and backups directory operations.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources import files
+
+#: Seconds that a writer may take.
+LEASE_S = 6 * 3600
+
 
 class Conflict(RuntimeError):
     """Someone else has replaced the table since it was read."""
@@ -33,6 +40,11 @@ class Table:
         found = [s.getPath().getName() for s in fs.listStatus(root)]
         return sorted(int(n[2:]) for n in found if n.startswith("v=") and fs.exists(path(f"{self.path}/{n}/_SUCCESS")))
 
+    def _dead(self, version: int) -> bool:
+        """Whether a version was claimed long ago and isn't there."""
+        said = files.text_of(self.spark, f"{self.path}/claims/{version}")
+        return bool(said) and time.time() - float(said) > LEASE_S
+
     def read(self) -> DataFrame | None:
         have = self.versions()
         return self.spark.read.parquet(f"{self.path}/v={have[-1]}") if have else None
@@ -43,20 +55,22 @@ class Table:
         The version's number is claimed first by a file that only one writer can create,
         so no two writers share a path.  ``base`` is the version that ``rows`` were made
         from (0: none): if that isn't the latest any more, or its successor is claimed,
-        :class:`Conflict` is raised and nothing is written.
+        :class:`Conflict` is raised and nothing is written.  A claim that is older than
+        ``LEASE_S`` without a version is a dead writer's: its number is passed over.
         """
         have = self.versions()
         new = (have[-1] if have else 0) + 1
-        fs, path = self._fs()
         if base is not None and base != new - 1:
             raise Conflict(f"version {new - 1} isn't {base}")
-        fs.mkdirs(path(f"{self.path}/claims"))
-        while not fs.createNewFile(path(f"{self.path}/claims/{new}")):
-            if base is not None:
+        while not files.create_once(self.spark, f"{self.path}/claims/{new}", f"{time.time():.0f}"):
+            if base is not None and not self._dead(new):
                 raise Conflict(f"version {new} is claimed")
             new += 1
+        fs, path = self._fs()
         writer = rows.write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(f"{self.path}/v={new}")
+        if (now := self.versions())[-1] != new and base is not None:
+            raise Conflict(f"version {now[-1]} came while {new} was written")
         for old in [*have, new][:-keep]:
             fs.delete(path(f"{self.path}/v={old}"), True)
         return new

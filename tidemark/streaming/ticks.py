@@ -2,22 +2,23 @@
 
 Late rows are never cut off: bars are partial aggregates per batch that merge on
 read, so no watermark is set.  A batch writes to paths named by its id and a replay
-of it overwrites them, which makes the sink exactly-once.
+of it overwrites them, which makes the sink exactly-once; a block of rows that another
+batch has written already isn't written again.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Iterator
+import random
+import time
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators import bars, dedup
 from tidemark.sources import frames, snapshots
+from tidemark.streaming import blocks, states
 
 ACCEPTED = "received_ms long, pos int, event string, body string, symbol string, stamp long"
 WINDOW_MS = 600_000
@@ -29,58 +30,47 @@ def capture(spark: SparkSession, path: str, files: int = 16) -> DataFrame:
     return rows.select(F.col("r").alias("received_ms"), F.col("p").alias("packet"))
 
 
-def _accept(window_ms: int):
-    def step(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, seen = state.get if state.exists else (-1, "{}")
-        known: dict[str, int] = json.loads(seen)
-        rows = pd.concat(list(parts)).sort_values(["received_ms", "pos"], kind="stable")
-        out = []
-        for r in rows.itertuples(index=False):
-            before = known.get(r.key)
-            known[r.key] = r.received_ms  # every sighting renews the window
-            if before is None or r.received_ms - before >= window_ms:
-                last = max(int(r.received_ms), last + 1)
-                out.append((r.received_ms, r.pos, r.event, r.body, key[0], last))
-        newest = max(known.values(), default=0)
-        state.update((last, json.dumps({k: t for k, t in known.items() if newest - t < window_ms})))
-        yield pd.DataFrame(out, columns=["received_ms", "pos", "event", "body", "symbol", "stamp"])
-
-    return step
-
-
-def accepted(packets: DataFrame, window_ms: int = WINDOW_MS) -> DataFrame:
+def accepted(packets: DataFrame, window_ms: int = WINDOW_MS, idle_ms: int = states.IDLE_MS) -> DataFrame:
     """Deduplicated, stamped records of a stream; per symbol it equals :func:`frames.accept` on all rows.
 
-    State is one row per symbol: its last stamp and the contents sighted in the window.
+    State is an entry per content sighted, kept for ``idle_ms`` after the last sighting,
+    and one stamp per symbol.
     """
     rows = frames.records(packets).withColumn("body", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("fields")))))
     rows = rows.withColumn("symbol", frames.symbol(F.col("event"), F.col("fields"))).where("symbol is not null")
     keyed = rows.select("received_ms", "pos", "event", "body", "symbol", F.sha1(F.concat_ws("\x00", "event", "body")).alias("key"))
-    return keyed.groupBy("symbol").applyInPandasWithState(_accept(window_ms), ACCEPTED, "last long, seen string", "append", GroupStateTimeout.NoTimeout)
+    return keyed.groupBy("symbol").transformWithStateInPandas(states.Accept(window_ms, idle_ms), ACCEPTED, "Append", "ProcessingTime")
 
 
 def write_batch(root: str, rows: DataFrame, batch: int) -> None:
-    """Typed tables, quarantine and partial bars of one batch of accepted records."""
+    """Typed tables, quarantine and partial bars of one batch of accepted records, without the
+    blocks that one of the last batches has written."""
+    spark, ledger = rows.sparkSession, blocks.Ledger(rows.sparkSession, f"{root}/blocks")
     rows = rows.withColumn("fields", F.from_json("body", "map<string,string>")).persist()
-    refused = None
-    for event in frames.EVENTS:
-        good, bad = frames.normalize(rows, event)
-        good.write.mode("overwrite").parquet(f"{root}/{event}/batch={batch}")
-        refused = bad if refused is None else refused.unionByName(bad)
+    good, bad = zip(*[frames.normalize(rows, e) for e in frames.EVENTS], strict=True)
+    fresh, found = ledger.fresh({e: blocks.numbered(g, "symbol", ["received_at", "symbol"]) for e, g in zip(frames.EVENTS, good, strict=True)}, batch)
+    for event, some in fresh.items():
+        some.write.mode("overwrite").parquet(f"{root}/{event}/batch={batch}")
+    refused = reduce(DataFrame.unionByName, bad)
     refused.withColumn("fields", F.to_json("fields")).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch}")
-    trades = rows.sparkSession.read.parquet(f"{root}/t/batch={batch}").withColumn("slot", F.date_trunc("minute", "ts"))
-    bars.partials(trades, ["symbol", "slot"], ["ts", "seq", "received_at"]).write.mode("overwrite").parquet(f"{root}/bars/batch={batch}")
+    trades = spark.read.parquet(f"{root}/t/batch={batch}").withColumn("slot", F.date_trunc("minute", "ts"))
+    partial_bars(spark, root).add(batch, bars.partials(trades, ["symbol", "slot"], ["ts", "seq", "received_at"]))
+    ledger.note(found, batch)  # after all rows are written: a batch that fails before writes them again
     rows.unpersist()
 
 
+def partial_bars(spark: SparkSession, root: str) -> blocks.Partials:
+    return blocks.Partials(spark, f"{root}/bars")
+
+
 def start(packets: DataFrame, root: str, checkpoint: str, window_ms: int = WINDOW_MS, once: bool = True) -> StreamingQuery:
     writer = accepted(packets, window_ms).writeStream.foreachBatch(lambda df, n: write_batch(root, df, n)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
+    return states.begin(packets.sparkSession, writer, once)
 
 
-def minute_bars(spark: SparkSession, root: str) -> DataFrame:
-    """Final bars over the partial ones of all batches."""
-    return bars.merge(spark.read.parquet(f"{root}/bars"), ["symbol", "slot"])
+def minute_bars(spark: SparkSession, root: str) -> DataFrame | None:
+    """Final bars over the partial ones of all batches, compacted or not."""
+    return partial_bars(spark, root).read()
 
 
 def boot_state(boot: DataFrame, fresh: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -98,15 +88,21 @@ def published(event: str, deltas: DataFrame) -> DataFrame:
     return deltas.select(F.concat_ws(":", F.lit("rt:pub"), F.lit(event), "symbol").alias("channel"), message.alias("message"))
 
 
-def latest_state(table: snapshots.Table, deltas: DataFrame, now_ms: int, ttl_ms: int = 86_400_000) -> int:
+def latest_state(table: snapshots.Table, deltas: DataFrame, now_ms: int, ttl_ms: int = states.DAY_MS, tries: int = 5) -> int:
     """Merge deltas (``symbol``, ``ms``, ``delta``) into the state table: newer columns win, old symbols go.
 
-    Columns that a delta doesn't carry stay; returns the new version.
+    Columns that a delta doesn't carry stay; returns the new version.  If another writer
+    comes in between, the merge is made again from what that one wrote.
     """
-    cols = deltas.select("symbol", "ms", F.explode("delta").alias("k", "v"))
-    old = table.read()
-    if old is not None:
-        cols = cols.unionByName(old.select("symbol", "ms", F.explode("state").alias("k", "v")))
-    newest = dedup.latest(cols, ["symbol", "k"], ["ms", "v"])
-    state = newest.groupBy("symbol").agg(F.max("ms").alias("ms"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("state"))
-    return table.replace(state.where(F.col("ms") >= now_ms - ttl_ms))
+    for i in range(tries):
+        versions, old = table.versions(), table.read()
+        cols = states.exploded(deltas)
+        if old is not None:
+            cols = cols.unionByName(states.exploded(old, "state"))
+        newest = dedup.latest(cols, ["symbol", "k"], ["ms", "v"])
+        state = newest.groupBy("symbol").agg(F.max("ms").alias("ms"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("state"))
+        try:
+            return table.replace(state.where(F.col("ms") >= now_ms - ttl_ms), base=versions[-1] if versions else 0)
+        except snapshots.Conflict:
+            time.sleep(random.uniform(0.2, 1) * min(i + 1, 5))
+    raise snapshots.Conflict(f"{tries} other writers in a row")
