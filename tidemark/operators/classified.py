@@ -17,6 +17,7 @@ from tidemark.functions import text
 LAST_SUB = {"1": "f", "2": "f", "3": "i"}
 OUTSIDE = "x"
 MOST_TICKERS, MOST_INDUSTRIES = 5, 3
+FIELDS = "group sub confidence summary_ai tickers industries".split()
 _ANSWER = "`group` string, sub string, confidence double, summary_ai string, tickers array<string>, industries array<string>"
 
 
@@ -32,12 +33,12 @@ class Applied:
 def checked(answers: DataFrame, codes: DataFrame) -> DataFrame:
     """``article_id``, the parsed fields and ``error``, the first rule that an answer breaks, or null.
 
-    ``codes`` is the closed list of industries (``industry``, ``industry_id``); lists that
+    A field that the scheme doesn't name is a broken rule, too.  ``codes`` is the closed list of industries (``industry``, ``industry_id``); lists that
     the model leaves out are empty.
     """
     none = F.array().cast("array<string>")
-    rows = answers.select("article_id", F.from_json("body", _ANSWER, {"mode": "PERMISSIVE"}).alias("a"))
-    a = rows.select("article_id", F.col("a.group").alias("group"), "a.sub", "a.confidence", "a.summary_ai", F.coalesce("a.tickers", none).alias("tickers"), F.coalesce("a.industries", none).alias("industries"))
+    rows = answers.select("article_id", F.from_json("body", _ANSWER, {"mode": "PERMISSIVE"}).alias("a"), F.json_object_keys("body").alias("keys"))
+    a = rows.select("article_id", "keys", F.col("a.group").alias("group"), "a.sub", "a.confidence", "a.summary_ai", F.coalesce("a.tickers", none).alias("tickers"), F.coalesce("a.industries", none).alias("industries"))
     known = codes.agg(F.collect_set("industry").alias("known"))  # one row: a closed list of industries
     a = a.join(F.broadcast(known))
     in_group = F.lit(False)
@@ -47,6 +48,7 @@ def checked(answers: DataFrame, codes: DataFrame) -> DataFrame:
     broken = lambda ok: ~F.coalesce(ok, F.lit(False))
     error = (
         F.when(F.col("group").isNull() & F.col("sub").isNull() & F.col("confidence").isNull(), "no answer")
+        .when(broken(F.size(F.array_except("keys", F.array(*map(F.lit, FIELDS)))) == 0), "fields")
         .when(broken(F.col("group").isin(*LAST_SUB, OUTSIDE)), "group")
         .when(broken(in_group), "sub")
         .when(broken(F.col("confidence").between(0, 1)), "confidence")

@@ -95,10 +95,10 @@ def filing_tickers(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "supplier").select("s_suppkey", text.ticker_of_url(url).alias("ticker"))
 
 
-@query("SELECT doc_id, nfc_normalize(left(text, 400)) AS text FROM documents")
+@query("SELECT doc_id, nfc_normalize(text) AS text FROM documents")
 def decoded_bytes(spark: SparkSession, d: str) -> DataFrame:
     """Bytes in UTF-8 and UTF-16 read as text; each second document is wide."""
-    part = F.substring("text", 1, 400)
+    part = F.col("text")
     raw = F.when(F.col("doc_id") % 2 == 0, F.encode(part, "UTF-8")).otherwise(F.encode(part, "UTF-16LE"))
     # a wide text shows by its zero bytes, which a very short one has too few of
     raw = F.when(F.length(part) < 30, F.encode(part, "UTF-8")).otherwise(raw)
@@ -421,27 +421,51 @@ def auction_refusals(spark: SparkSession, d: str) -> DataFrame:
     return bad.select("page_id", F.substring_index("error", ":", 1).alias("error"))
 
 
-@query("""SELECT 'rss' AS kind, 'https://x.vn/a' || doc_id AS canonical, regexp_replace(trim(regexp_replace(left(text, 60), '\\s+', ' ', 'g')), '[<&>]', '', 'g') AS title, TIMESTAMP '2024-01-01' + to_hours(doc_id::INTEGER) AS published_at FROM documents WHERE length(trim(left(text, 60))) > 3""")
+#: Characters that XML can't hold, as a pattern.
+_NOT_XML = "[\\x{00}-\\x{08}\\x{0B}\\x{0C}\\x{0E}-\\x{1F}\\x{FFFE}\\x{FFFF}]"
+#: Items of a feed document.
+_PER_FEED = 40
+
+
+@query(f"""SELECT 'rss' AS kind, 'https://x.vn/a' || doc_id AS canonical, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[<&>]|{_NOT_XML}', '', 'g'), '\\s+', ' ', 'g')) AS title, TIMESTAMP '2024-01-01' + to_hours(doc_id::INTEGER) AS published_at FROM documents
+  UNION ALL SELECT 'sitemap', 'https://x.vn/tin/a' || doc_id, NULL, TIMESTAMP '2024-01-01' + to_hours(doc_id::INTEGER) FROM documents WHERE lang = 'en'
+  UNION ALL SELECT 'links', 'https://x.vn/tin/a' || doc_id, NULL, NULL FROM documents WHERE lang <> 'en'""")
 def rss_items(spark: SparkSession, d: str) -> DataFrame:
-    """Items of RSS documents by canonical address, tracking parameters gone."""
-    k = F.col("doc_id")
-    title = F.regexp_replace(F.trim(F.regexp_replace(F.substring("text", 1, 60), r"\s+", " ")), "[<&>]", "")
+    """Items of RSS documents, sitemaps and link lists by canonical address, tracking parameters gone.
+
+    Each feed document holds a bounded number of the documents, whole texts as titles; of a
+    sitemap and a link list the addresses count that look like articles."""
+    k, docs = F.col("doc_id"), read(spark, d, "documents")
+    title = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), f"[<&>]|{_NOT_XML}", ""), r"\s+", " "))
     at = F.timestamp_seconds(1_704_067_200 + k * 3600)
-    item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>http://X.vn/a"), k.cast("string"), F.lit("/?utm_source=rss</link><pubDate>"), F.date_format(F.from_utc_timestamp(at, "Asia/Ho_Chi_Minh"), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT+7</pubDate></item>"))
-    docs = read(spark, d, "documents").where(F.length(F.trim(F.substring("text", 1, 60))) > 3)
-    feeds = docs.groupBy((k % 20).alias("f")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("body"))
-    got = pages.feeds(feeds.select(F.col("f").cast("string").alias("feed"), F.lit("rss").alias("kind"), F.lit("").alias("base"), F.lit("").alias("article"), "body"))
-    return got.where("error is null").select(F.lit("rss").alias("kind"), "canonical", "title", _ntz(F.col("published_at")).alias("published_at"))
+    local = F.from_utc_timestamp(at, "Asia/Ho_Chi_Minh")
+    key = k.cast("string")
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>http://X.vn/a"), key, F.lit("/?utm_source=rss</link><pubDate>"), F.date_format(local, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT+7</pubDate></item>"))
+    where = F.when(F.col("lang") == "en", F.concat(F.lit("https://x.vn/tin/a"), key)).otherwise(F.concat(F.lit("https://x.vn/tag/"), key))
+    url = F.concat(F.lit("<url><loc>"), where, F.lit("</loc><lastmod>"), F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00</lastmod></url>"))
+    link = F.concat(F.lit("<a href='/"), F.when(F.col("lang") != "en", "tin").otherwise("tag"), F.lit("/a"), key, F.lit("'>more</a>"))
+    kinds = {"rss": ("<rss><channel>", item, "</channel></rss>", ""), "sitemap": ("<urlset>", url, "</urlset>", "/tin/"), "links": ("<body>", link, "</body>", "/tin/")}
+    out = None
+    for kind, (head, entry, end, article) in kinds.items():
+        body = F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list(entry)), ""), F.lit(end))
+        feeds = docs.groupBy(F.floor(k / _PER_FEED).cast("string").alias("f")).agg(body.alias("body"))
+        got = pages.feeds(feeds.select("f", F.lit(kind).alias("kind"), F.lit("https://x.vn/").alias("base"), F.lit(article).alias("article"), "body").withColumnRenamed("f", "feed"))
+        one = got.where("error is null").select(F.lit(kind).alias("kind"), "canonical", "title", _ntz(F.col("published_at")).alias("published_at"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_PLAIN = "trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace({}, '<!--.*?-->', ' ', 'gs'), '<[^>]*>', ' ', 'g'), '&quot;', '\"'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"
 
 
-@query("""SELECT page_id, 'no container' AS error, NULL AS title, NULL AS content FROM pages WHERE page_id % 4 = 0 UNION ALL SELECT page_id, NULL, 'Page ' || page_id, 'first ' || page_id || ' second' FROM pages WHERE page_id % 4 <> 0""")
+@query(f"""WITH p AS (SELECT page_id, regexp_extract(coalesce(html, ''), '<article[^>]*>(.*?)</article>', 1, 's') AS a FROM pages),
+  t AS (SELECT page_id, a, {_PLAIN.format("regexp_extract(a, '<h1>(.*?)</h1>', 1, 's')")} AS title, nfc_normalize({_PLAIN.format("regexp_replace(a, '<h1>.*?</h1>', ' ', 's')")}) AS content FROM p),
+  e AS (SELECT *, CASE WHEN a = '' THEN 'no container' WHEN title = '' THEN 'no title' WHEN length(content) < 200 THEN 'too short' END AS error FROM t)
+  SELECT page_id, error, CASE WHEN error IS NULL THEN title END AS title, CASE WHEN error IS NULL THEN content END AS content FROM e""")
 def article_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Title and text of articles by a source's rule; dropped parts, scripts and comments are left out."""
-    k = F.col("page_id").cast("string")
-    inner = F.concat(F.lit("<h1 class='t'> Page  "), k, F.lit("</h1><div class='body wide'><p>first&nbsp;"), k, F.lit("</p><!-- c --><figure>f</figure><script>s()</script><p> second</p><div id='ad'>ad</div></div>"))
-    body = F.when(F.col("page_id") % 4 == 0, "<p>nothing</p>").otherwise(inner)
-    rule = pages.ArticleRule("div.body", "h1.t", ("figure", "#ad"), least=5)
-    got = pages.articles(read(spark, d, "pages").select(k.alias("url"), F.lit("r").alias("rule"), body.alias("body")), {"r": rule})
+    """Title and text of all pages by a source's rule."""
+    rule = pages.ArticleRule("article", "article h1", ("h1",))
+    got = pages.articles(read(spark, d, "pages").select(F.col("page_id").cast("string").alias("url"), F.lit("r").alias("rule"), F.coalesce("html", F.lit("")).alias("body")), {"r": rule})
     return got.select(F.col("url").cast("long").alias("page_id"), "error", "title", "content")
 
 
@@ -518,31 +542,31 @@ def domain_marks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, d: str) -> classified.Applied:
-    """Answers of a model over all documents: every seventh breaks the scheme."""
+    """Answers of a model over all documents: some break the scheme, some have a field that it doesn't know."""
     k = F.col("doc_id")
     docs = read(spark, d, "documents").select("doc_id", k.alias("article_id"))
     group = F.element_at(F.array(F.lit("1"), F.lit("2"), F.lit("3"), F.lit("x")), (k % 4 + 1).cast("int"))
     sub = F.when(k % 7 == 0, "9z").when(group == "x", "x").otherwise(F.concat(group, F.lit("c")))
-    body = F.to_json(F.struct(group.alias("group"), sub.alias("sub"), (k % 10 / 10).alias("confidence"), F.lit("s").alias("summary_ai"), F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.concat(F.lit("c"), (k % 50 + i).cast("string"))).alias("tickers"), F.transform(F.sequence(F.lit(0), (k % 5).cast("int")), lambda i: F.concat(F.lit("N"), i.cast("string"))).alias("industries")))
+    body = F.to_json(F.struct(group.alias("group"), sub.alias("sub"), (k % 10 / 10).alias("confidence"), F.lit("s").alias("summary_ai"), F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.concat(F.lit("c"), (k % 50 + i).cast("string"))).alias("tickers"), F.transform(F.sequence(F.lit(0), (k % 5).cast("int")), lambda i: F.concat(F.lit("N"), i.cast("string"))).alias("industries"), F.when(k % 11 == 5, "?").alias("note")))
     articles = docs.select("article_id", F.lit("https://x.vn/a").alias("url"), F.lit("C7X C12 USD").alias("title"), F.lit(None).cast("string").alias("sapo"), F.when(k % 3 == 0, 3).alias("group_from_feed"), (k % 2 == 0).alias("ticker_step_ran"))
     listed = read(spark, d, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"), F.col("c_custkey").alias("security_id"), F.col("c_custkey").alias("issuer_id"), "c_nationkey").where("security_id % 3 <> 1")
     codes = read(spark, d, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("industry"), F.col("n_nationkey").alias("industry_id"))
     return classified.apply(articles, docs.select("article_id", body.alias("body")), listed.drop("c_nationkey"), codes, listed.select("issuer_id", F.col("c_nationkey").alias("industry_id")))
 
 
-@query("""SELECT doc_id AS article_id, CASE WHEN doc_id % 4 < 3 THEN (doc_id % 4 + 1)::INTEGER END AS group_no, CASE WHEN doc_id % 4 < 3 THEN (doc_id % 4 + 1) || 'c' END AS sub, (doc_id % 10) / 10 AS confidence, doc_id % 3 = 0 AND doc_id % 4 <> 2 AS overridden, CASE WHEN doc_id % 4 = 3 THEN 'x' ELSE '' END AS labels, doc_id % 2 = 0 OR doc_id % 4 = 2 AS ticker_step_ran FROM documents WHERE doc_id % 7 <> 0""")
+@query("""SELECT doc_id AS article_id, CASE WHEN doc_id % 4 < 3 THEN (doc_id % 4 + 1)::INTEGER END AS group_no, CASE WHEN doc_id % 4 < 3 THEN (doc_id % 4 + 1) || 'c' END AS sub, (doc_id % 10) / 10 AS confidence, doc_id % 3 = 0 AND doc_id % 4 <> 2 AS overridden, CASE WHEN doc_id % 4 = 3 THEN 'x' ELSE '' END AS labels, doc_id % 2 = 0 OR doc_id % 4 = 2 AS ticker_step_ran FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 5""")
 def classified_articles(spark: SparkSession, d: str) -> DataFrame:
     return _answers(spark, d).articles.withColumn("labels", F.array_join("labels", ",")).drop("summary_ai")
 
 
-@query("""WITH g AS (SELECT doc_id, unnest(range(0, 9)) AS i FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 4 = 2), t AS (SELECT doc_id, doc_id % 50 + i AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g JOIN customer ON c_custkey = doc_id % 50 + i WHERE c_custkey % 3 <> 1)
+@query("""WITH g AS (SELECT doc_id, unnest(range(0, 9)) AS i FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 5 AND doc_id % 4 = 2), t AS (SELECT doc_id, doc_id % 50 + i AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g JOIN customer ON c_custkey = doc_id % 50 + i WHERE c_custkey % 3 <> 1)
   SELECT doc_id AS article_id, s AS security_id, 'ai' AS via FROM t WHERE n <= 5""")
 def classified_tickers(spark: SparkSession, d: str) -> DataFrame:
     """Listed tickers of group 3, the model's first five; title words count where they weren't looked up before."""
     return _answers(spark, d).tickers
 
 
-@query("""WITH a AS (SELECT doc_id, unnest(range(0, least(doc_id % 5 + 1, 3))) AS i FROM documents WHERE doc_id % 7 <> 0), g AS (SELECT doc_id, unnest(range(0, 9)) AS i FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 4 = 2),
+@query("""WITH a AS (SELECT doc_id, unnest(range(0, least(doc_id % 5 + 1, 3))) AS i FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 5), g AS (SELECT doc_id, unnest(range(0, 9)) AS i FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 5 AND doc_id % 4 = 2),
   t AS (SELECT doc_id, c_nationkey, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g JOIN customer ON c_custkey = doc_id % 50 + i WHERE c_custkey % 3 <> 1)
   SELECT doc_id AS article_id, i::INTEGER AS industry_id, 'ai' AS via FROM a UNION ALL SELECT DISTINCT doc_id, c_nationkey::INTEGER, 'ticker' FROM t WHERE n <= 5""")
 def classified_industries(spark: SparkSession, d: str) -> DataFrame:
@@ -550,6 +574,6 @@ def classified_industries(spark: SparkSession, d: str) -> DataFrame:
     return _answers(spark, d).industries.drop("confidence")
 
 
-@query("SELECT doc_id AS article_id, 'sub' AS error FROM documents WHERE doc_id % 7 = 0")
+@query("SELECT doc_id AS article_id, CASE WHEN doc_id % 11 = 5 THEN 'fields' ELSE 'sub' END AS error FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 = 5")
 def refused_answers(spark: SparkSession, d: str) -> DataFrame:
     return _answers(spark, d).refused
