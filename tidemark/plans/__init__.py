@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.plans import gates, market, reads, search, writes
+from tidemark.plans import gates, market, reads, search, stores, writes
 
 
 def queries() -> dict:
-    assert gates and reads and search and writes  # they register their queries on import
+    assert gates and reads and search and stores and writes  # they register their queries on import
     return dict(market.QUERIES)
 
 
