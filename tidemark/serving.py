@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
-from tidemark.operators import ordering, postings, series
+from tidemark.operators import grams, ordering, postings, series
+from tidemark.sources import sidecar
 
 # Wire names of the facts.
 WIRE = {
@@ -93,15 +94,23 @@ class Warehouse:
     event indicator observation break asset asset_price asset_ohlc article revision article_ticker
     article_industry metric``."""
 
-    def __init__(self, tables: dict[str, DataFrame], index: postings.Index | None = None):
-        """``index`` holds the revisions' texts (title, sapo and content); without one, a search scans them."""
-        self.t, self.index = tables, index
+    def __init__(self, tables: dict[str, DataFrame], index: postings.Index | None = None, names: grams.Grams | None = None):
+        """``index`` holds the revisions' texts (title, sapo and content), ``names`` the listed
+        securities' tickers and short names; without them, a search scans the tables.  The
+        table ``screener_metrics``, if there is one, has the payloads' metrics as columns."""
+        self.t, self.index, self.names = tables, index, names
 
     def resolve(self, ticker: str) -> dict | Answer:
         """The security of a ticker, listed before others; else up to five similar listed tickers."""
         found = self.t["security"].where(F.upper("ticker") == ticker.upper()).orderBy((F.col("status") == "listed").desc(), "security_id").first()
         if found is not None:
             return found.asDict()
+        if self.names is not None:
+            found = self.names.similar(ticker, 0.3).select(F.col("id").alias("security_id")).distinct()
+            near = self.t["security"].join(found, "security_id")
+            # a similarity of the ticker at or below the bound ranks as it is, so it is computed for the few that are left
+            sim = text.similarity(text.trigrams(F.col("ticker")), text.trigrams(F.lit(ticker)))
+            return unknown(ticker, [r[0] for r in near.orderBy(sim.desc(), "ticker").select("ticker").limit(5).collect()])
         asked = text.trigrams(F.lit(ticker))
         rows = self.t["security"].where("status = 'listed'").join(self.t["issuer"].select("issuer_id", "short_name"), "issuer_id", "left")
         sim = text.similarity(text.trigrams(F.col("ticker")), asked)
@@ -160,14 +169,15 @@ class Warehouse:
         return data(newest.limit(most), min(n, most), ticker=s["ticker"], truncated=n > most)
 
     def _metric(self, code: str) -> Column:
-        return F.expr(f"try_variant_get(payload, '$.stockScreenerItem.{code}', 'decimal(38,10)')")
+        return F.col(code) if "screener_metrics" in self.t else sidecar.metric(code)
 
     def _session(self) -> tuple[DataFrame | None, date | None]:
         """The latest session's rows of listed securities, with their industry."""
-        day = self.t["screener"].agg(F.max("trading_date")).first()[0]
+        screener = self.t.get("screener_metrics", self.t["screener"])
+        day = screener.agg(F.max("trading_date")).first()[0]
         if day is None:
             return None, None
-        rows = self.t["screener"].where(F.col("trading_date") == F.lit(day)).join(self.t["security"].where("status = 'listed'"), "security_id")
+        rows = screener.where(F.col("trading_date") == F.lit(day)).join(self.t["security"].where("status = 'listed'"), "security_id")
         industry = self.t["industry"].select("industry_id", F.col("code").alias("industry"), F.col("name_vi").alias("industry_name"))
         return rows.join(self.t["issuer_industry"].select("issuer_id", "industry_id"), "issuer_id", "left").join(industry, "industry_id", "left"), day
 
@@ -194,7 +204,7 @@ class Warehouse:
         if exchange:
             rows = rows.where(F.col("exchange") == exchange)
         for c in criteria:
-            m, v = self._metric(c["metric_code"]), F.lit(c["value"])
+            m, v = self._metric(c["metric_code"]), sidecar.literal(c["value"]) if "screener_metrics" in self.t else F.lit(c["value"])
             rows = rows.where({">": m > v, "<": m < v, ">=": m >= v, "<=": m <= v, "=": m == v}[c["operator"]])
         sort, n = sort_by or "rtd11", ordering.limit_of(limit, 30, 200)
         shown = list(dict.fromkeys([sort, *(c["metric_code"] for c in criteria), *RATIOS]))
