@@ -553,8 +553,10 @@ def test_quotes(spark):
     assert got[1, 0] == (rows[0][3], 0, None, None, 1, 0, 0) and got[1, 1] == ("I am fine thank you.", 1, 1, 0, 1, 0, 1)
     assert got[1, 2] == ("Great to hear that", 2, 1, 1, 1, 0, 2) and got[2, 0] == ("quoted across now ok", 1, 1, 1, 1, 0, 2)
     assert got[3, 0] == ("Deep one here now", 1, 1, 2, 1, 0, 3) and got[3, 1] == ("fine", 1, None, None, 3, 1, 0) and got[None, 5][:3] == ("", 1, None)
-    chat = {(r.root_conv, r.conv_id): [m.turn for m in r.messages] for r in quotes.chats(linked).collect()}
-    assert chat[1, 1] == [0, 1, 2] and chat[2, 2] == [1, 1] and linked.count() == len(rows)
+    chat = {(r.root_conv, r.root_turn, r.part): [(m.conv_id, m.turn) for m in r.messages] for r in quotes.chats(linked, 3).collect()}
+    assert chat == {(1, 0, 0): [(1, 0), (1, 1), (1, 2)], (1, 0, 1): [(2, 0), (3, 0)], (2, 1, 0): [(2, 1), (2, 1)], (3, 1, 0): [(3, 1)]} and linked.count() == len(rows)
+    placed = {(r.conv_id, r.turn): r.place for r in quotes.threads(linked).collect()}
+    assert placed == {(1, 0): 1, (1, 1): 2, (1, 2): 3, (2, 0): 4, (2, 1): 1, (None, 5): 1, (3, 0): 5, (3, 1): 1}
     assert [(p.v, p.t) for p in quotes.parse(df).where("turn = 2").first().passages] == [(2, "hello there, my friend\nHow are you doing today"), (1, "\nI am fine thank you.")]
     assert quotes.link(df.limit(0)).count() == 0
 
@@ -569,4 +571,4 @@ def test_a_deeper_quote_names_the_thread(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 14))

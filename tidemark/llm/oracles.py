@@ -57,7 +57,8 @@ roots AS (SELECT conv_id, turn, arg_max(rc, depth) AS rc, arg_max(rt, depth) AS
 SELECT m.conv_id, m.turn, m.role,
   regexp_replace(regexp_replace(array_to_string(list_transform(string_split(own, chr(10)), lambda l: regexp_replace(regexp_replace(l, '^ ', ''), '\s+$', '')), chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS content,
   ((q1 IS NOT NULL)::INTEGER + (q2 IS NOT NULL)::INTEGER) AS n_quotes, coalesce(p.quoted, '') AS quoted, p.pc AS reply_conv, p.pt AS reply_turn,
-  coalesce(r.rc, m.conv_id) AS root_conv, coalesce(r.rt, m.turn) AS root_turn, coalesce(r.depth, 0)::BIGINT AS depth
+  coalesce(r.rc, m.conv_id) AS root_conv, coalesce(r.rt, m.turn) AS root_turn, coalesce(r.depth, 0)::BIGINT AS depth,
+  CASE WHEN m.conv_id IS NULL OR m.turn IS NULL THEN 1 ELSE rank() OVER (PARTITION BY coalesce(r.rc, m.conv_id), coalesce(r.rt, m.turn), m.conv_id IS NULL OR m.turn IS NULL ORDER BY m.conv_id, m.turn) END AS place
 FROM m LEFT JOIN parents p ON p.conv_id = m.conv_id AND p.turn = m.turn LEFT JOIN roots r ON r.conv_id = m.conv_id AND r.turn = m.turn
 """
 

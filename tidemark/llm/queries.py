@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import additive, collocations, media, mixing, pieces, quality, quotes, simhash, surrogates, url_lists, variants, warc, wrappers
-from tidemark.llm.common import table
+from tidemark.llm.common import cut, table
 
 
 def _quoting(messages: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def _quoting(messages: DataFrame) -> DataFrame:
 
 
 def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = quotes.link(_quoting(table(spark, sf_dir, "conversations")))
+    linked = quotes.threads(cut(quotes.link(_quoting(table(spark, sf_dir, "conversations"))), "quote-linked"))
     return linked.withColumn("quoted", F.array_join(F.transform("quoted", lambda q: F.concat_ws(":", q["level"], q["conv"], q["turn"])), ","))
 
 

@@ -13,7 +13,7 @@ messages share joins to one row, and no pairs arise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
@@ -112,9 +112,31 @@ def _roots(parents: DataFrame) -> DataFrame:
     return now.drop("done")
 
 
+def threads(linked: DataFrame) -> DataFrame:
+    """``linked`` with ``place``, from 1: where a message stands in its thread, across conversations.
+
+    Replies come after what they reply to, as they are later by conversation and turn;
+    rows that repeat a conversation and turn share a place.  Messages with a null
+    conversation or turn stand alone.  Places are counted per conversation and offset
+    by the conversations before it, so a thread's messages don't meet in one task.
+    """
+    root, known = ["root_conv", "root_turn"], F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    rows = linked.where(known)
+    sizes = cut(rows.groupBy(*root, "conv_id").agg(F.count("*").alias("__n")), "thread-sizes")
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*root).orderBy("conv_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = cut(sizes.select(*root, "conv_id", before.alias("__before")), "thread-offsets")
+    own = F.rank().over(Window.partitionBy(*root, "conv_id").orderBy("turn"))
+    placed = rows.withColumn("__own", own).join(offsets, [*root, "conv_id"])
+    placed = placed.select(*linked.columns, (F.col("__own") + F.col("__before")).cast("long").alias("place"))
+    return placed.unionByName(linked.where(~known).withColumn("place", F.lit(1).cast("long")))
+
+
 def chats(linked: DataFrame, chunk: int = 64) -> DataFrame:
-    """Reply-ordered conversations in parts of ``chunk`` turns: ``root_conv``, ``root_turn``,
-    ``conv_id``, ``part`` and ``messages`` (turn, role, content), parents before replies."""
-    part = F.floor(F.col("turn") / chunk)
-    grouped = linked.groupBy("root_conv", "root_turn", "conv_id", part.alias("part"))
-    return grouped.agg(F.sort_array(F.collect_list(F.struct("turn", "role", "content"))).alias("messages"))
+    """Reply-ordered conversations: ``root_conv``, ``root_turn``, ``part`` and ``messages`` (place,
+    conversation, turn, role, content), parents before replies, across conversations.
+
+    A thread is as many parts of ``chunk`` places as it needs, so none is too large for a
+    row.  Messages without a conversation or a turn are in no thread."""
+    part = F.floor((F.col("place") - 1) / chunk)
+    rows = threads(linked.where("conv_id is not null and turn is not null"))
+    return rows.groupBy("root_conv", "root_turn", part.alias("part")).agg(F.sort_array(F.collect_list(F.struct("place", "conv_id", "turn", "role", "content"))).alias("messages"))
