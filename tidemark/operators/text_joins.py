@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
@@ -20,19 +20,20 @@ def near_duplicates(articles: DataFrame, key: str, source: str, when: str, withi
     """
     sets = articles.select(F.col(key).alias("id"), F.col(source).alias("src"), F.col(when).alias("at"), "title", text.trigrams(F.col("title")).alias("t"))
     sets = cut(sets.withColumn("n", F.size("t")), "near-sets")
-    rows = sets.select("id", F.explode("t").alias("g"), "n")
-    rarity = rows.groupBy("g").agg(F.count("*").alias("c"))
-    placed = rows.join(rarity, "g").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("c", "g")))
-    rare = placed.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("id", "g", "n", "r")
-    keyed = rare.join(sets.select("id", "src", "at"), "id").withColumn("slot", F.floor(F.col("at") / (within + 1)))
+    rarity = cut(sets.select(F.explode("t").alias("g")).groupBy("g").agg(F.count("*").alias("c")), "near-rarity")
+    # a set's trigrams are ranked within its row; only the prefix becomes rows again
+    ranked = sets.select("id", "src", "at", "n", F.explode("t").alias("g")).join(rarity, "g").groupBy("id", "src", "at", "n").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("g"))
+    prefix = F.transform(F.slice("g", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least) + 1).cast("int")), lambda x: x["g"])
+    keyed = cut(ranked.select("id", "src", "at", "n", F.floor(F.col("at") / (within + 1)).alias("slot"), F.posexplode(prefix).alias("r", "g")), "near-prefixes")
     side = lambda x, slots: keyed.select(F.col("id").alias(x), *[F.col(c).alias(c + x) for c in ("src", "at", "n", "r")], "g", slots)
     left, right = side("a", F.explode(F.array("slot", F.col("slot") - 1)).alias("slot")), side("b", F.col("slot"))
     na, nb = F.col("na"), F.col("nb")
     sized = F.least(na, nb) >= F.greatest(na, nb) * least - 1e-9
-    room = 1 + F.least(na - F.col("ra"), nb - F.col("rb")) >= (na + nb) * (least / (1 + least)) - 1e-9
+    room = F.least("ra", "rb") + F.least(na - F.col("ra"), nb - F.col("rb")) >= (na + nb) * (least / (1 + least)) - 1e-9
     pairs = left.join(right, ["g", "slot"]).where((F.col("srca") != F.col("srcb")) & (F.col("atb") < F.col("ata")) & (F.col("ata") - F.col("atb") <= within) & sized & room).select("a", "b").distinct()
-    x = sets.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("title").alias("la"))
-    y = sets.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("title").alias("lb"))
-    near = pairs.join(x, "a").join(y, "b").withColumn("sim", F.round(text.similarity(F.col("ta"), F.col("tb")), 6))
-    near = near.where((F.col("sim") >= least) & text.dates_agree(F.col("la"), F.col("lb")))
+    x, y = sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), sets.select(F.col("id").alias("b"), F.col("t").alias("tb"))
+    near = pairs.join(x, "a").join(y, "b").withColumn("sim", F.round(text.similarity(F.col("ta"), F.col("tb")), 6)).where(F.col("sim") >= least).select("a", "b", "sim")
+    # titles only for what is similar
+    near = near.join(sets.select(F.col("id").alias("a"), F.col("title").alias("la")), "a").join(sets.select(F.col("id").alias("b"), F.col("title").alias("lb")), "b")
+    near = near.where(text.dates_agree(F.col("la"), F.col("lb")))
     return near.groupBy("a").agg(F.max_by(F.struct("b", "sim"), F.struct(F.col("sim"), -F.col("b"))).alias("m")).select(F.col("a").alias(key), F.col("m.b").alias("other"), F.col("m.sim").alias("sim"))
