@@ -132,3 +132,11 @@ def test_forms_that_are_used_up_grow(spark):
     got = {r.value: r.surrogate for r in surrogates.assign(found).collect()}
     assert got.keys() == set(mails) and len(set(got.values())) == len(mails) and not set(got.values()) & set(mails)
     assert all(v.endswith(".de") and "@" in v for v in got.values())
+
+
+def test_numbers_with_double_zeros_and_spaced_ones(spark):
+    got = replaced(spark, "ring 00491711234567 now", "or 0044 20 7946 0018, please", "SSN 123 45 6789.", "sizes 100 45 6789 12, 900 45 6789, 123 00 6789 and 0012", "sum 000 45 6789")
+    assert re.fullmatch(r"ring 0049[0-9]{10} now", got[0]) and "1711234567" not in got[0]
+    assert re.fullmatch(r"or 0044 [2-9][0-9] [0-9]{4} [0-9]{4}, please", got[1]) and "7946" not in got[1]
+    assert re.fullmatch(r"SSN [0-9]{3} [0-9]{2} [0-9]{4}\.", got[2]) and got[2] != "SSN 123 45 6789."
+    assert got[3:] == ["sizes 100 45 6789 12, 900 45 6789, 123 00 6789 and 0012", "sum 000 45 6789"]

@@ -7,9 +7,11 @@ letter case, country code, top-level domain, card issuer and whether the Luhn su
 an account number's check digits hold, script and gender of a name.  Surrogates are
 made per distinct entity of the corpus, so mentions corefer; those that equal another
 surrogate or a real entity are drawn again until all differ.  A name that a form of
-address shows is replaced wherever its text says it again without one.
+address shows is replaced wherever its text says it again without one, even where a word
+that is a name, too (Will, May), stands for something else.
 
-What isn't found: names that no form of address precedes in their text, and what is
+What isn't found: names that no form of address precedes in their text, a name in other
+letter case than beside its form of address, IPv6 addresses that begin with colons, and what is
 longer than its kind can be (64 characters before an @, 128 of a hexadecimal key, 64
 after a key's prefix, 41 letters in a part of a name).
 """
@@ -51,8 +53,8 @@ KINDS = {
     "ip6": r"[0-9A-Fa-f](?<![\p{L}0-9:.].)(?=[0-9A-Fa-f:]{0,40}[0-9]|(?<=[0-9]))(?:[0-9A-Fa-f]{2,3}:(?:[0-9A-Fa-f]{1,4}:){0,5}(?::[0-9A-Fa-f]{1,4}){1,6}|[0-9A-Fa-f]{0,3}:(?:[0-9A-Fa-f]{1,4}:){6}[0-9A-Fa-f]{1,4})(?![\p{L}0-9:])",
     "iban": r"[A-Z]{2}[0-9]{2}(?<![A-Za-z0-9]....)(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?=[0-9])(?<![0-9+.])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
-    "ssn": r"(?=[0-9])(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": rf"(?=[0-9+(])(?<![0-9+])(?:{_NATIONAL}|{_LOCAL}|\+[1-9][0-9]{{0,2}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{1,4}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}|(?:\([2-9][0-9]{{2}}\) ?|[2-9][0-9]{{2}}[.-])[0-9]{{3}}[ .-][0-9]{{4}})(?![0-9])",
+    "ssn": r"(?=[0-9])(?<![0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|(?<![0-9][ .,/:])(?!000|666|9)[0-9]{3} (?!00)[0-9]{2} (?!0000)[0-9]{4}(?! ?[0-9]))(?![0-9-])",
+    "phone": rf"(?=[0-9+(])(?<![0-9+])(?:{_NATIONAL}|{_LOCAL}|00[1-9][0-9]{{0,2}}(?:[ .-]?[0-9]{{2,4}}){{3,5}}|\+[1-9][0-9]{{0,2}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{1,4}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}|(?:\([2-9][0-9]{{2}}\) ?|[2-9][0-9]{{2}}[.-])[0-9]{{3}}[ .-][0-9]{{4}})(?![0-9])",
     "hex": r"(?:[0-9a-f](?=[0-9a-f]{31})|[0-9A-F](?=[0-9A-F]{31}))(?<![A-Za-z0-9].)(?:[0-9a-f]{31,127}|[0-9A-F]{31,127})(?![A-Za-z0-9])",
     "secret": r"(?:AKIA(?<![A-Za-z0-9]....)[0-9A-Z]{16}|gh[pousr]_(?<![A-Za-z0-9]....)[A-Za-z0-9]{36}|sk-(?<![A-Za-z0-9]...)[A-Za-z0-9]{20,64}|xox[abprs]-(?<![A-Za-z0-9].....)[A-Za-z0-9-]{10,64})(?![A-Za-z0-9])",
     # further words of a name start where the word before them (no key in capitals) was found
@@ -162,7 +164,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     seeded = entities.select(
         "*", F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", value, F.col("attempt").cast("string")), 256).alias("__seed"),
         F.regexp_extract(value, r"@(.*)\.[^.]+$", 1).alias("__domain"),
-        F.regexp_extract(value, r"^(?:\+(?:1|[0-9]{1,3}(?=[ .(-])|[0-9]{2})|\(?0)?[ .(-]*", 0).alias("__code"),
+        F.regexp_extract(value, r"^(?:(?:\+|00)(?:1|[0-9]{1,3}(?=[ .(-])|[0-9]{2})|\(?0)?[ .(-]*", 0).alias("__code"),
     )
     seed = F.col("__seed")
     # forms of few shapes grow: a character more with every second attempt past ROOMY
