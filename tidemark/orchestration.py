@@ -1,10 +1,12 @@
-"""Driver-side rules: schedule, due jobs, ledgers, cursors, runners."""
+"""Driver-side rules: schedule, due jobs, ledgers, cursors, runners and their child processes."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import subprocess
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import datetime, time, timedelta
+from time import monotonic, sleep
 from zoneinfo import ZoneInfo
 
 from tidemark.functions.dates import ZONE
@@ -121,3 +123,39 @@ def resume(position: int | None, items: list, done: int, failed: bool) -> int:
     """Where a backfill goes on: after what is done, frozen at the first failure, from the start at the end."""
     at = (position or 0) + done
     return at if failed or at < len(items) else 0
+
+
+def drive(runner: Runner, jobs: Iterable[Job], command: Callable[[Job], list[str]], poll: float = 0.2, clock: Callable[[], float] = monotonic, patience: float | None = None) -> list[tuple[str, int]]:
+    """Run jobs as child processes by the runner's rules; returns names and exit codes as they end.
+
+    A job waits until the runner lets it start.  After ``patience`` seconds, or if this
+    process is interrupted, children are told to end, and killed if they don't."""
+    waiting, live, done, began = list(jobs), {}, [], clock()
+    try:
+        while waiting or live:
+            now = clock()
+            for job, child in list(live.items()):
+                if (code := child.poll()) is not None:
+                    del live[job]
+                    runner.ended(job, code, now)
+                    done.append((job.name, code))
+            for job in [j for j in waiting if runner.may_start(j, now)]:
+                if runner.may_start(job, now):  # one that has just started may keep it back
+                    waiting.remove(job)
+                    live[job] = subprocess.Popen(command(job))
+                    runner.started(job)
+            if patience is not None and now - began > patience:
+                break
+            sleep(poll)
+    finally:
+        for child in live.values():
+            child.terminate()
+        for job, child in live.items():
+            try:
+                code = child.wait(5)
+            except subprocess.TimeoutExpired:
+                child.kill()
+                code = child.wait()
+            runner.ended(job, code, clock())
+            done.append((job.name, code))
+    return done

@@ -13,6 +13,7 @@ from tidemark import schemas
 from tidemark.functions import dates, numbers, text
 from tidemark.operators import bars, classified, dedup, due, guards, merge, reshape, series
 from tidemark.plans.market import query, read
+from tidemark.session import cut
 from tidemark.sources import frames, market_series, pages, reports
 from tidemark.streaming import ticks
 
@@ -525,9 +526,11 @@ def guard_verdicts(spark: SparkSession, d: str) -> DataFrame:
         "all_or_nothing": (guards.ALL_OR_NOTHING, {"failed": few, "shape": zero, "band": zero, "stale": zero}),
         "ratio": (guards.RATIO, {"failed": few, "total": n, "shape": few, "band": few, "stale": few}),
     }
+    # one pass over the orders, one row with the counts of all guards
+    whole = cut(o.agg(n.alias("n"), *[c.alias(f"{name}.{k}") for name, (_, counts) in cases.items() for k, c in counts.items()]), "guard-counts")
     out = None
     for name, (rules, counts) in cases.items():
-        one = o.agg(n.alias("n"), *[c.alias(k) for k, c in counts.items()])
+        one = whole.select("n", *[F.col(f"`{name}.{k}`").alias(k) for k in counts])
         one = one.join(F.broadcast(gap)) if name == "refdata" else one  # one row each
         one = guards.judge(one, rules).select(F.lit(name).alias("guard"), F.array_join("reasons", ",").alias("reasons"), "n")
         out = one if out is None else out.unionByName(one)
