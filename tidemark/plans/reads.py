@@ -8,13 +8,18 @@ answer says besides its rows comes back as columns.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import grams
 from tidemark.plans.market import query, read
-from tidemark.serving import Answer, Warehouse
+from tidemark.plans.search import index_of
+from tidemark.serving import METRICS, Answer, Warehouse
+from tidemark.session import shared_dir
+from tidemark.sources import sidecar
 
 _PRIORITY = {"1-URGENT": "AGM", "2-HIGH": "CashDividend", "3-MEDIUM": "Earning", "4-NOT SPECIFIED": "ShareIssuance", "5-LOW": "IPO"}
 
@@ -64,6 +69,32 @@ def warehouse(spark: SparkSession, d: str) -> Warehouse:
     return Warehouse(t)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def searched(spark: SparkSession, d: str) -> Warehouse:
+    """The warehouse with an index of its revisions' texts."""
+    t = warehouse(spark, d).t
+    texts = t["revision"].select(F.col("article_id").alias("id"), "version", F.concat_ws(" ", "title", "sapo", "content").alias("text"))
+    return Warehouse(t, index=index_of(spark, texts, 2))
+
+
+def suggesting(spark: SparkSession, d: str) -> Warehouse:
+    """The warehouse with postings of listed tickers and short names."""
+    t, names = warehouse(spark, d).t, grams.Grams(spark, _folder(spark, "grams"))
+    listed = t["security"].where("status = 'listed'").join(t["issuer"], "issuer_id", "left")
+    names.build(listed.select(F.col("security_id").alias("id"), F.expr("stack(2, 'ticker', ticker, 'name', short_name) as (field, name)")))
+    return Warehouse(t, names=names)
+
+
+def typed(spark: SparkSession, d: str) -> Warehouse:
+    """The warehouse with the screener's metrics as columns."""
+    t, path, metrics = warehouse(spark, d).t, _folder(spark, "metrics"), sorted(METRICS)
+    sidecar.write(t["screener"], path, metrics, "rtd11")
+    return Warehouse(t | {"screener_metrics": sidecar.read(spark, path, metrics)})
+
+
 def _rows(answers: dict[str, Answer], *facts: str) -> DataFrame:
     """The rows of several answers under one name each, with some of their facts."""
     parts = [a.rows.withColumns({"asked": F.lit(k)} | {f: F.lit(a.facts[f]) for f in facts}) for k, a in answers.items() if a.rows is not None]
@@ -102,7 +133,7 @@ _SESSION = """WITH s AS (SELECT user_id AS k, ts::DATE AS day, max(value) AS rtd
   SELECT asked, ticker, exchange, industry_name, rtd11, rtd14, rtd21, count(*) OVER (PARTITION BY asked) > 8 AS truncated FROM a QUALIFY row_number() OVER (PARTITION BY asked ORDER BY v DESC, ticker) <= 8""")
 def screen_stocks(spark: SparkSession, d: str) -> DataFrame:
     """Listed securities of the latest session by metrics of a JSON payload, best first, without a cut."""
-    w = warehouse(spark, d)
+    w = typed(spark, d)
     rule = lambda m, op, v: {"metric_code": m, "operator": op, "value": v}
     got = {"cheap": w.screen([rule("rtd21", ">=", 1), rule("rtd11", ">", 5)], sort_by="rtd14", limit=8), "hnx": w.screen(exchange="HNX", limit=8)}
     shown = _rows(got, "truncated").select("asked", "ticker", "exchange", "industry_name", "rtd11", "rtd14", "rtd21", "truncated")
@@ -188,7 +219,7 @@ def get_news(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{_NEWS} SELECT article_id, title, count(*) OVER () AS total FROM a WHERE contains('|' || array_to_string(t, '|') || '|', '|and|the|') AND article_id % 20 = 5""")
 def search_news(spark: SparkSession, d: str) -> DataFrame:
     """Articles of one ticker that have a phrase; all are asked for, as the order is by a rank of our own."""
-    a = warehouse(spark, d).news("and the", ticker="C5", limit=100)
+    a = searched(spark, d).news("and the", ticker="C5", limit=100)
     return _rows({"and the": a}, "total").select("article_id", "title", F.col("total").cast("long").alias("total"))
 
 
@@ -199,7 +230,7 @@ _NEAR = """WITH g AS (SELECT c_custkey AS k, list_distinct(list_transform(range(
 @query(f"""{_NEAR} SELECT 'C1' AS ticker, true AS exact, 1::BIGINT AS place UNION ALL SELECT ticker, false, row_number() OVER (ORDER BY sim DESC, ticker) FROM s WHERE sim > 0.3 QUALIFY row_number() OVER (ORDER BY sim DESC, ticker) <= 5""")
 def resolve_ticker(spark: SparkSession, d: str) -> DataFrame:
     """A known ticker, and the listed tickers most like an unknown one."""
-    w = warehouse(spark, d)
+    w = suggesting(spark, d)
     known, near = w.resolve("c1"), w.resolve("C1x")
     rows = [(known["ticker"], True, 1), *[(t, False, i) for i, t in enumerate(near.facts["suggestions"], 1)]]  # five at most
     return spark.createDataFrame(rows, "ticker string, exact boolean, place long")
