@@ -151,12 +151,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return cut(both.where(F.col("c") >= F.lit(least) * (F.col("n") - F.col("c")) - 1e-9).select(*pairs.columns), "similar-links")
 
 
-#: Parts by hash in which shared shingles are counted, and rougher ones that a join compares.
-PARTS, ROUGH = 64, 32
+#: Parts by hash in which shared shingles are counted.
+PARTS = 32
 
 
 def _shared(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """``sk``; how many of its shingles some other set of ``rest`` has, too; ``parts``, how many
+    """``sk``; how many of its shingles some other set of ``rest`` has, too; ``p0`` and so on, how many
     of those fall into each part of the hashes; and ``rare``, those of its prefix.
 
     Two sets have no more in common than the sum of the lesser counts of all parts.  A set's
@@ -165,12 +165,12 @@ def _shared(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     and are shared with none)."""
     sized = rest.select("sk", "n").distinct()
     grams = sets.join(sized, "sk").select("sk", "n", F.explode("hashes").alias("h"))
-    known = cut(grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "similar-known")
+    known = grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     part = F.pmod("h", F.lit(PARTS))
     found = grams.join(known.hint("shuffle_hash"), "h").groupBy("sk", "n").agg(F.count("*").alias("shared"), F.collect_list(F.struct("c", "h")).alias("hs"), *[F.count_if(part == i).alias(f"p{i}") for i in range(PARTS)])
     prefix = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.col("shared"))
     rare = F.transform(F.slice(F.sort_array("hs"), F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")), lambda x: x["h"])
-    return cut(found.select("sk", "shared", F.array(*[F.col(f"p{i}").cast("int") for i in range(PARTS)]).alias("parts"), rare.alias("rare")), "similar-shared")
+    return found.select("sk", "shared", *[F.col(f"p{i}").cast("int").alias(f"p{i}") for i in range(PARTS)], rare.alias("rare"))
 
 
 def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,25 +228,20 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     rest = named.join(split, ["t", "key"])
     rest = rest.select("sk", "n", "root").distinct()
     rest = cut(rest.join(_shared(rest, sets, least), "sk").where(F.col("shared") >= F.lit(least) * F.col("n") - 1e-9), "similar-rest")
-    rough = [f"p{i}" for i in range(ROUGH)]
-    sums = [sum((F.get("parts", F.lit(j)) for j in range(i, PARTS, ROUGH)), F.lit(0)).alias(p) for i, p in enumerate(rough)]
-    posted = cut(rest.select("sk", "n", "shared", "root", *sums, F.posexplode("rare").alias("r", "h")), "similar-posted")
+    parts = [f"p{i}" for i in range(PARTS)]
+    posted = rest.select("sk", "n", "shared", "root", *parts, F.posexplode("rare").alias("r", "h"))
     per = posted.groupBy("h", "root").agg(F.count("*").alias("c")).groupBy("h").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
-    posted = cut(posted.join(cut(per.where("roots > 1").select("h", "main"), "similar-mains"), "h"), "similar-posted")
+    posted = cut(posted.join(per.where("roots > 1").select("h", "main"), "h"), "similar-posted")
     # no pair is within a component, so members of a shingle's main one are on one side only
-    ours = posted.where("root <> main").select("h", *[F.col(c).alias(f"{c}a") for c in ("sk", "n", "shared", "root", "r", *rough)])
-    theirs = posted.select("h", *[F.col(c).alias(f"{c}b") for c in ("sk", "n", "shared", "root", "r", *rough)])
+    ours = posted.where("root <> main").select("h", *[F.col(c).alias(f"{c}a") for c in ("sk", "n", "shared", "root", "r", *parts)])
+    theirs = posted.select("h", *[F.col(c).alias(f"{c}b") for c in ("sk", "n", "shared", "root", "r", *parts)])
     needed = F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-9
     room = 1 + F.least(F.col("shareda") - 1 - F.col("ra"), F.col("sharedb") - 1 - F.col("rb")) + F.least("ra", "rb")
-    alike = sum((F.least(f"{p}a", f"{p}b") for p in rough), F.lit(0))
-    close = sized(F.col("na"), F.col("nb")) & (F.least("shareda", "sharedb") >= needed) & (room >= needed) & (alike >= needed)
+    common = sum((F.least(f"{p}a", f"{p}b") for p in parts), F.lit(0))
+    close = sized(F.col("na"), F.col("nb")) & (F.least("shareda", "sharedb") >= needed) & (room >= needed) & (common >= needed)
     met = ours.join(theirs, "h").where((F.col("roota") != F.col("rootb")) & close)
-    met = met.select(F.least("ska", "skb").alias("a"), F.greatest("ska", "skb").alias("b"), F.least("roota", "rootb").alias("ra"), F.greatest("roota", "rootb").alias("rb"), needed.alias("needed"))
-    met = cut(met.distinct(), "similar-candidates")
-    parts = rest.select("sk", "parts")
-    both = met.join(parts.toDF("a", "pa"), "a").join(parts.toDF("b", "pb"), "b")
-    common = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    second = _similar(cut(both.where(common >= F.col("needed")).select("a", "b", "ra", "rb"), "similar-pairs"), sets, least)
+    met = met.select(F.least("ska", "skb").alias("a"), F.greatest("ska", "skb").alias("b"), F.least("roota", "rootb").alias("ra"), F.greatest("roota", "rootb").alias("rb"))
+    second = _similar(met.distinct(), sets, least)
     higher = cut(components(second.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("low", "high"), "similar-roots")  # of the components so far
     tree = classes.select("sk", "rep").join(roots, "sk", "left").select("sk", "rep", F.coalesce("root", "sk").alias("low"))
     tree = cut(tree.join(higher, "low", "left").select("sk", "rep", F.coalesce("high", "low").alias("root")), "similar-tree")
