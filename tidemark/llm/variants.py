@@ -11,7 +11,7 @@ rows is divided again: the half that may differ is cut in two, and the segment g
 the half that then has to agree.  At a single code point it ends, where a bucket has a
 row per letter for words of equal length and per two letters for longer ones.  Candidates
 so stay in proportion to words, and none is lost: whatever is cut, the edit lies in one
-part.
+part.  Parts of long words are divided whatever their bucket, until they are short.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ RUN = re.compile("[A-Za-zÀ-ÿ]+")
 SHORTEST, LEAST, SPOILT = 5, 3, 97
 #: Candidates per row from which a bucket is divided.
 CROWDED = 8
+#: Code points of the part that may differ up to which candidates are verified.
+WIDE = 64
 #: Distinct words, and their code points, that a task holds before it hands them on.
 HELD, HELD_CHARS = 300_000, 16_000_000
 
@@ -98,6 +100,16 @@ def _halves(rows: DataFrame) -> DataFrame:
     return _keyed(rows.select("word", "n", "length", "longer", F.inline(parts)))
 
 
+def _one_edit() -> Column:
+    """Whether ``a`` and ``b`` agree outside ``since`` to ``until`` and are one edit apart inside; the
+    distance is taken of that short part alone, as its time grows with the square."""
+    since, until, after = F.col("since"), F.col("until"), F.col("until") + F.col("longer")
+    part = lambda w, end: F.substring(w, since + 1, end - since)
+    tail = lambda w, end: F.substring(w, end + 1, F.length(w))
+    same = (F.substring("a", F.lit(1), since) == F.substring("b", F.lit(1), since)) & (tail("a", until) == tail("b", after))
+    return same & (F.levenshtein(part("a", until), part("b", after), 1) == 1)
+
+
 def neighbours(counted: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Pairs ``a``, ``b`` of distinct words one edit apart, once each, with ``na`` and ``nb``.
 
@@ -108,17 +120,18 @@ def neighbours(counted: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     probe = F.when(size > shortest, F.struct((size - 1).alias("length"), F.lit(1).alias("longer")))
     rows = counted.select("word", "n", F.inline(F.array_compact(F.array(own, probe))))
     rows = cut(_halves(rows.select("*", F.lit(0).alias("since"), F.col("length").alias("until"))), "variant-rows")
-    pairs, spec = None, "a string, na long, b string, nb long"
+    pairs = None
     while True:
         counts = rows.groupBy("key").agg(F.count_if(F.col("longer") == 0).alias("x"), F.count_if(F.col("longer") == 1).alias("y"))
         made = F.col("x") * (F.col("x") - 1) / 2 + F.col("x") * F.col("y")
         counts = cut(counts.where(made > 0).select("key", (made > (F.col("x") + F.col("y")) * CROWDED).alias("crowded")), "variant-buckets")
-        met = cut(rows.join(counts, "key").select("*", (F.col("crowded") & (F.col("until") - F.col("since") > 1)).alias("divide")), "variant-met")
+        wide = F.col("until") - F.col("since")
+        met = cut(rows.join(counts, "key").select("*", ((F.col("crowded") & (wide > 1)) | (wide > WIDE)).alias("divide")), "variant-met")
         still = met.where("not divide")
-        left = still.where("longer = 0").select("key", F.col("word").alias("a"), F.col("n").alias("na"))
+        left = still.where("longer = 0").select("key", F.col("word").alias("a"), F.col("n").alias("na"), "since", "until")
         right = still.select("key", F.col("word").alias("b"), F.col("n").alias("nb"), "longer")
         near = left.join(right, "key").where((F.col("longer") == 1) | (F.col("a") < F.col("b")))
-        found = cut(near.where(F.levenshtein("a", "b", 1) == 1).select("a", "na", "b", "nb"), "variant-pairs")
+        found = cut(near.where(_one_edit()).select("a", "na", "b", "nb"), "variant-pairs")
         pairs = found if pairs is None else pairs.unionByName(found)
         rest = met.where("divide")
         if rest.isEmpty():
