@@ -122,3 +122,13 @@ def test_a_cluster_must_name_its_shared_folder():
     for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError):
             shared_dir(Session(master))
+
+
+def test_a_reader_gives_its_rows_in_frames_of_bounded_size(spark):
+    body = PAGE.format(date="Ngày 3 tháng 2 năm 2026", short="", last="<th>d</th>", rows=GROUP + ROW.format("5", "1,5") * 9000)
+    sizes = [len(f) for f in pages.in_frames(((i, "x" * 100_000) for i in range(90)), ["i", "x"])]
+    assert sum(sizes) == 90 and max(sizes) <= pages.FRAME_CHARS // 100_000 + 1
+    assert max(len(f) for f in pages.in_frames(((i, *row) for i in range(3) for row in pages.result_cells(body)), ["page_id", "at", "cells", "mark"])) == pages.FRAME_ROWS
+    good, _ = pages.auctions(spark.createDataFrame([(str(i), body) for i in range(3)], "page_id string, body string"))
+    assert [(r.participants, float(r.volume_vnd)) for r in good.collect()] == [(9000, 45_000 * 1e9)] * 3
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "16m"

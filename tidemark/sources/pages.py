@@ -12,6 +12,7 @@ import unicodedata
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import dates, text
 from tidemark.operators import reshape
+from tidemark.session import cut, small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -37,13 +39,47 @@ def decoded(raw: pd.Series) -> pd.Series:
     return raw.map(lambda b: None if b is None else decode(bytes(b)))
 
 
-@dataclass
+#: Rows and characters of a frame that a reader gives back, however many its pages hold.
+FRAME_ROWS, FRAME_CHARS = 4096, 1 << 22
+
+
+def _weight(x: object) -> int:
+    return len(x) if isinstance(x, str) else sum(map(_weight, x)) if isinstance(x, list) else 0
+
+
+def in_frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of bounded size with ``rows``, which are taken one by one."""
+    some, chars = [], 0
+    for row in rows:
+        some.append(row)
+        chars += sum(map(_weight, row))
+        if len(some) >= FRAME_ROWS or chars >= FRAME_CHARS:
+            yield pd.DataFrame(some, columns=columns, dtype=object)
+            some, chars = [], 0
+    if some:
+        yield pd.DataFrame(some, columns=columns, dtype=object)
+
+
+@lru_cache(maxsize=256)
+def _selector(selector: str) -> tuple[str, str | None, frozenset[str], str, str] | None:
+    """Tag, id, classes, attribute and its prefix of a compound selector."""
+    m = re.fullmatch(r"([a-z0-9]*)((?:[.#][\w-]+)*)(?:\[(\w+)\^=([^\]]*)\])?", selector)
+    if not m:
+        return None
+    named = re.findall(r"[.#][\w-]+", m[2])
+    ids = {x[1:] for x in named if x[0] == "#"}
+    return (m[1], next(iter(ids), None), frozenset(x[1:] for x in named if x[0] == "."), m[3] or "", m[4] or "") if len(ids) < 2 else None
+
+
+@dataclass(slots=True)
 class Element:
     tag: str
     attrs: dict[str, str]
     kids: list = field(default_factory=list)
 
     def text(self) -> str:
+        if len(self.kids) == 1 and isinstance(self.kids[0], str):
+            return " ".join(self.kids[0].split())
         return " ".join(" ".join(self._runs()).split())
 
     def _runs(self) -> Iterator[str]:
@@ -64,12 +100,15 @@ class Element:
 
     def matches(self, selector: str) -> bool:
         """One compound selector: tag, ``#id``, ``.class``, ``[attr^=prefix]``."""
-        m = re.fullmatch(r"([a-z0-9]*)((?:[.#][\w-]+)*)(?:\[(\w+)\^=([^\]]*)\])?", selector)
-        if not m or (m[1] and self.tag != m[1]):
+        asked = _selector(selector)
+        if asked is None or (asked[0] and self.tag != asked[0]):
+            return False
+        _, own, classes, attr, prefix = asked
+        if own is not None and self.attrs.get("id") != own:
+            return False
+        if classes and not (self.attrs and classes <= set(self.attrs.get("class", "").split())):
             return False
-        classes = self.attrs.get("class", "").split()
-        named = all((self.attrs.get("id") == x[1:]) if x[0] == "#" else x[1:] in classes for x in re.findall(r"[.#][\w-]+", m[2]))
-        return named and (not m[3] or self.attrs.get(m[3], "").startswith(m[4]))
+        return not attr or self.attrs.get(attr, "").startswith(prefix)
 
     def select(self, selectors: str) -> list[Element]:
         """Elements of any of the comma-separated selectors, whose parts may be nested by blanks."""
@@ -87,12 +126,31 @@ class Element:
             e.kids = [k for k in e.kids if isinstance(k, str) or id(k) not in gone]
 
 
+_BARE = re.compile(r"<(/?)([a-z][a-z0-9]*)>")
+# elements whose content isn't markup, which the parser has rules for
+_RAW = frozenset("iframe noembed noframes noscript plaintext script style textarea title xmp".split())
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Element("", {})
         self.stack = [self.root]
 
+    def parse_starttag(self, i: int) -> int:
+        bare = _BARE.match(self.rawdata, i)
+        if not bare or bare[2] in _RAW:
+            return super().parse_starttag(i)
+        self.handle_starttag(bare[2], [])
+        return bare.end()
+
+    def parse_endtag(self, i: int) -> int:
+        bare = _BARE.match(self.rawdata, i) if self.cdata_elem is None else None
+        if not bare or bare[2] in _RAW:
+            return super().parse_endtag(i)
+        self.handle_endtag(bare[2])
+        return bare.end()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         e = Element(tag, {k: v or "" for k, v in attrs})
         self.stack[-1].kids.append(e)
@@ -132,14 +190,14 @@ class Refused(ValueError):
     """A page that isn't what its reader knows."""
 
 
-def result_cells(page: str) -> list[tuple[int, list[str], str]]:
+def result_cells(page: str) -> Iterator[tuple[int, list[str], str]]:
     """A results page as plain rows: at -1 its words and the words of its date elements, then the
     non-empty rows of the first table with the header word, as cell texts with the row's class."""
     root = parse_html(page)
+    yield -1, [root.text(), "\n".join(e.text() for e in root.select(".ls01-date"))], ""
     tables = (t for t in root.select("table") if KIND_HEADER in t.text())
-    rows = [([c.text() for c in tr.kids if isinstance(c, Element) and c.tag in ("td", "th")], tr.attrs.get("class", "")) for t in [next(tables, Element("", {}))] for tr in t.select("tr")]
-    head = [root.text(), "\n".join(e.text() for e in root.select(".ls01-date"))]
-    return [(-1, head, ""), *((i, cells, mark) for i, (cells, mark) in enumerate(r for r in rows if any(r[0])))]
+    rows = (([c.text() for c in tr.kids if isinstance(c, Element) and c.tag in ("td", "th")], tr.attrs.get("class", "")) for t in [next(tables, Element("", {}))] for tr in t.select("tr"))
+    yield from ((i, cells, mark) for i, (cells, mark) in enumerate(r for r in rows if any(r[0])))
 
 
 def _session_date(words: Column, dated: Column) -> Column:
@@ -162,9 +220,10 @@ def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield pd.DataFrame([(r.page_id, *row) for r in part.itertuples(index=False) for row in result_cells(r.body or "")], columns=["page_id", "at", "cells", "mark"])
+        rows = ((r.page_id, *row) for part in parts for r in part.itertuples(index=False) for row in result_cells(r.body or ""))
+        yield from in_frames(rows, ["page_id", "at", "cells", "mark"])
 
+    small_batches(pages.sparkSession, rows=16)
     cells = pages.select(F.col("page_id").cast("string").alias("page_id"), "body").mapInPandas(run, "page_id string, at int, cells array<string>, mark string")
     cell = lambda i: F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
     label, filled = cell(0), lambda i: F.when(cell(i) != "", cell(i))
@@ -193,13 +252,15 @@ def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(is_("odd"), F.concat(F.lit("unknown row "), label))
         .when(is_("tenor") & F.col("volume_bn").isNull() | is_("total") & filled(2).isNotNull() & F.col("volume_bn").isNull() | is_("tenor") & filled(3).isNotNull() & F.col("rate").isNull(), F.concat(F.lit("no number: "), F.concat_ws(" ", "cells")))
     )
-    rows = rows.withColumn("error", error)
-    per = rows.groupBy("page_id").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("at"))).alias("first"), F.bool_or(is_("header")).alias("header"), F.bool_or(is_("tenor")).alias("rows"), F.max(F.when(is_("page"), _session_date(cell(0), cell(1)))).alias("session_date"))
+    took = lambda i: F.when(is_("tenor") & cell(1).contains("/"), F.get(F.split(cell(1), "/"), F.lit(i)).try_cast("int"))
+    day = F.when(is_("page"), _session_date(cell(0), cell(1)))
+    # pages are read once; what follows are aggregations over what their rows say
+    rows = cut(rows.select("page_id", "at", "what", "op_type", "volume_bn", "rate", error.alias("error"), day.alias("session_date"), F.when(is_("tenor"), F.regexp_extract(label, r"(\d+)\s*ngày", 1)).cast("int").alias("tenor_days"), took(0).alias("participants"), took(1).alias("winners")), "auction-rows")
+    per = rows.groupBy("page_id").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("at"))).alias("first"), F.bool_or(is_("header")).alias("header"), F.bool_or(is_("tenor")).alias("rows"), F.max("session_date").alias("session_date"))
     sums = rows.groupBy("page_id", "op_type").agg(F.sum(F.when(is_("tenor"), F.col("volume_bn"))).alias("summed"), F.max_by(F.when(is_("total"), F.col("volume_bn")), F.when(is_("total") & F.col("volume_bn").isNotNull(), F.col("at"))).alias("total"))
     off = sums.where("summed <> total").groupBy("page_id").agg(F.concat(F.lit("rows don't add up to their total: "), F.min("op_type")).alias("off"))
     tenors = rows.where("what = 'tenor' and error is null")
-    took = lambda i: F.when(cell(1).contains("/"), F.get(F.split(cell(1), "/"), F.lit(i)).try_cast("int"))
-    typed = tenors.select("page_id", "op_type", F.regexp_extract(label, r"(\d+)\s*ngày", 1).cast("int").alias("tenor_days"), took(0).alias("participants"), took(1).alias("winners"), F.col("volume_bn").cast("decimal(28,10)").alias("volume_bn"), F.col("rate").cast("decimal(28,10)").alias("rate"))
+    typed = tenors.select("page_id", "op_type", "tenor_days", "participants", "winners", F.col("volume_bn").cast("decimal(28,10)").alias("volume_bn"), F.col("rate").cast("decimal(28,10)").alias("rate"))
     merged = reshape.merge_same(typed, ["page_id", "op_type", "tenor_days"], ["volume_bn"], ["participants", "winners"], "rate")
     clash = merged.where("clash").select("page_id", F.lit("rows of one tenor differ in rate").alias("clash")).distinct()
     judged = per.join(off, "page_id", "left").join(clash, "page_id", "left")
@@ -254,15 +315,20 @@ def feeds(docs: DataFrame) -> DataFrame:
     ``ticker`` of filings; a refused feed is one row with its ``error``.
     """
 
+    names = [x.split()[0] for x in _FEED.split(", ")]
+
+    def items(parts: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        for r in (r for part in parts for r in part.itertuples(index=False)):
+            try:
+                found = [{"feed": r.feed} | x for x in feed_items(r.body, r.kind, r.base or "", r.article or "")]
+            except Refused as e:
+                found = [{"feed": r.feed, "error": str(e)}]
+            yield from (tuple(map(x.get, names)) for x in found)
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for r in part.itertuples(index=False):
-                try:
-                    out += [{"feed": r.feed} | x for x in feed_items(r.body, r.kind, r.base or "", r.article or "")]
-                except Refused as e:
-                    out.append({"feed": r.feed, "error": str(e)})
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in _FEED.split(", ")]).astype(object).where(lambda f: f.notna(), None)
+        yield from in_frames(items(parts), names)
+
+    small_batches(docs.sparkSession, rows=64)
 
     rows = docs.select("feed", "kind", "base", "article", "body").mapInPandas(run, _FEED)
     typed = rows.select("*", text.canonical_url(F.col("url")).alias("canonical"), F.coalesce(dates.feed_time(F.col("published")), dates.time_in_url(F.col("url"))).alias("published_at"), text.ticker_of_url(F.col("url")).alias("ticker"))
@@ -302,14 +368,19 @@ def article(page: str, rule: ArticleRule) -> dict:
 def articles(pages: DataFrame, rules: dict[str, ArticleRule]) -> DataFrame:
     """``url``, ``title``, ``summary``, ``content`` or ``error`` of ``url``, ``rule``, ``body`` pages."""
 
+    names = ["url", "title", "summary", "content", "error"]
+
+    def items(parts: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        for r in (r for part in parts for r in part.itertuples(index=False)):
+            try:
+                found = {"url": r.url} | article(r.body, rules[r.rule])
+            except (Refused, KeyError) as e:
+                found = {"url": r.url, "error": str(e)}
+            yield tuple(map(found.get, names))
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for r in part.itertuples(index=False):
-                try:
-                    out.append({"url": r.url} | article(r.body, rules[r.rule]))
-                except (Refused, KeyError) as e:
-                    out.append({"url": r.url, "error": str(e)})
-            yield pd.DataFrame(out, columns=["url", "title", "summary", "content", "error"]).astype(object).where(lambda f: f.notna(), None)
+        yield from in_frames(items(parts), names)
+
+    small_batches(pages.sparkSession, rows=256)
 
     return pages.select("url", "rule", "body").mapInPandas(run, "url string, title string, summary string, content string, error string")
