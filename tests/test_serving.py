@@ -125,3 +125,13 @@ def test_schema_rules(spark):
 def test_registered_queries_run(spark, name):
     df = plans.queries()[name](spark, "/root/testdata/sf0.001")
     assert df.limit(1).count() == 1 and name in plans.oracle_sql()
+
+
+def test_a_search_without_a_cap_shows_every_hit(spark, store):
+    ids = spark.range(150)
+    article = ids.selectExpr("id as article_id", "'x' as primary_source", "cast(null as timestamp) as published_at", "timestamp '2026-01-01 00:00:00' as fetched_at", "1 as group_no", "'1a' as sub")
+    revision = ids.selectExpr("id as article_id", "1 as version", "'and the ' || id as title", "cast(null as string) as sapo", "'x' as content")
+    w = Warehouse(store.t | {"article": article, "revision": revision})
+    a = w.news("and the", most=None)
+    assert {r.article_id for r in a.rows.collect()} == set(range(150)) and a.facts["n_rows"] == a.facts["total"] == 150 and not a.facts["truncated"]
+    assert w.news(most=None).rows.count() == 150 and w.news("and the", limit=200).rows.count() == 100

@@ -219,7 +219,7 @@ def get_news(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{_NEWS} SELECT article_id, title, count(*) OVER () AS total FROM a WHERE contains('|' || array_to_string(t, '|') || '|', '|and|the|') AND article_id % 20 = 5""")
 def search_news(spark: SparkSession, d: str) -> DataFrame:
     """Articles of one ticker that have a phrase; all are asked for, as the order is by a rank of our own."""
-    a = searched(spark, d).news("and the", ticker="C5", limit=100)
+    a = searched(spark, d).news("and the", ticker="C5", most=None)
     return _rows({"and the": a}, "total").select("article_id", "title", F.col("total").cast("long").alias("total"))
 
 

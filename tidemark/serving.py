@@ -324,8 +324,10 @@ class Warehouse:
         found = newest(ohlc.withColumn("value", F.col("close")), ["value"], **facts)
         return found or empty(*_range(own.select("obs_date").unionAll(ohlc.select("obs_date")), "obs_date"), ticker=code)
 
-    def news(self, query: str | None = None, ticker: str | None = None, group_no: int | None = None, sub: str | None = None, industry: str | None = None, from_date: str | None = None, to_date: str | None = None, limit: int | None = None) -> Answer:
-        """Latest revisions: by phrase, else by all words; newest first, or by rank where there is a query."""
+    def news(self, query: str | None = None, ticker: str | None = None, group_no: int | None = None, sub: str | None = None, industry: str | None = None, from_date: str | None = None, to_date: str | None = None, limit: int | None = None, most: int | None = 100) -> Answer:
+        """Latest revisions: by phrase, else by all words; newest first, or by rank where there is a query.
+
+        At most ``most`` are shown, whatever the ``limit``; ``most`` of None shows all, in no order."""
         if group_no is not None and group_no not in (1, 2, 3):
             return bad(f"no group {group_no}", group_no_hop_le=[1, 2, 3])
         if error := check_day(from_date, "from_date") or check_day(to_date, "to_date") or self._industry_error(industry):
@@ -344,7 +346,7 @@ class Warehouse:
         a = a.where(F.col("sub") == sub) if sub else a
         newest = self.t["revision"].groupBy("article_id").agg(F.max_by(F.struct("title", "sapo", "content"), "version").alias("r")).select("article_id", "r.*")
         rows = between(a, "day", from_date, to_date).join(newest, "article_id")
-        n, order = ordering.limit_of(limit, 15, 100), [F.col("day").desc(), F.col("article_id").desc()]
+        n, order = ordering.limit_of(limit, 15, most) if most is not None else None, [F.col("day").desc(), F.col("article_id").desc()]
         columns = ("article_id", "day", "primary_source", "group_no", "sub", "title", "sapo")
         if query:
             words = [w for w in "".join(c.lower() if c.isalnum() else " " for c in _plain(query)).split() if w]
@@ -355,11 +357,15 @@ class Warehouse:
             else:
                 return empty(total=0, search="cum")
             total = hits.rows.count()
+            if n is None:
+                return data(hits.rows.select(*columns), total, total=total, truncated=False, search=how)
             shown = hits.top(n, *order).select(*columns)
             return data(shown, min(total, n), total=total, truncated=total > n, search=how)
         total = rows.count()
         if not total:
             return empty(*_range(a, "day"))
+        if n is None:
+            return data(rows.select(*columns), total, total=total, truncated=False)
         shown = rows.orderBy(*order).limit(n).select(*columns)
         return data(shown, min(total, n), total=total, truncated=total > n)
 
