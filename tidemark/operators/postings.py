@@ -14,15 +14,19 @@ places.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.session import cut
+from tidemark.session import cut, small_batches
 from tidemark.sources import snapshots
 
 # Fixed values of the rank: weight of a place, most places of a token that count, the last
@@ -78,6 +82,43 @@ def at_most(places: list[Column]) -> Column:
     return 1 - F.pow(F.lit(1 - closest), pairs)
 
 
+_BLOCKS = "token string, ids array<long>, versions array<int>, lengths array<int>, positions array<array<int>>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings of a batch of ``id``, ``version``, ``t`` (tokens) in a row per token."""
+    for b in batches:
+        sizes = b.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        words = b.column(2).flatten().dictionary_encode()
+        if not len(words):
+            continue
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        own = words.indices.to_numpy().astype(np.int64) * len(sizes) + row
+        order = np.argsort(own, kind="stable")  # by token, text and place
+        own = own[order]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        token, of = np.divmod(own[starts], len(sizes))
+        first = np.flatnonzero(np.diff(token, prepend=-1))
+        ends = pa.array(np.append(first, len(token)), pa.int32())
+        listed = lambda x: pa.ListArray.from_arrays(ends, x)  # noqa: B023, E731
+        places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(own)), pa.int32()), pa.array(place[order], pa.int32()))
+        columns = [words.dictionary.take(pa.array(token[first])).cast(pa.string()), *[listed(x) for x in (b.column(0).take(pa.array(of)), b.column(1).take(pa.array(of)), pa.array(sizes[of], pa.int32()), places)]]
+        yield pa.RecordBatch.from_arrays(columns, ["token", "ids", "versions", "lengths", "positions"])
+
+
+@contextmanager
+def _open_files(spark: SparkSession, n: int) -> Iterator[None]:
+    """While it lasts, a task keeps so many files open and doesn't sort its rows by file."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class Hits:
     """Ids that match; ``rows`` has ``id``, ``version`` and the array ``p<i>`` of places of each distinct token."""
@@ -128,11 +169,18 @@ class Index:
         self.manifest.replace(self.spark.createDataFrame(rows, "at int, segment string, name string").coalesce(1), base=base)
 
     def _write(self, postings: DataFrame, heads: DataFrame) -> str:
-        segment = uuid.uuid4().hex
-        parted = postings.withColumn("part", self._part(F.col("token")))
-        # ranges over the id, too: a token that every text has is written by many tasks
-        dealt = parted.repartitionByRange(F.col("part"), F.col("token"), F.col("id")).sortWithinPartitions("part", "token", "id")
-        dealt.write.partitionBy("part").parquet(f"{self.path}/postings/{segment}")
+        """Write rows of postings, or of blocks of them, as a segment.
+
+        Rows are dealt by part; adaptive execution cuts a part that is large (a token that
+        every text has) and joins small ones."""
+        segment, blocks = uuid.uuid4().hex, "ids" in postings.columns
+        dealt = postings.withColumn("part", self._part(F.col("token"))).hint("rebalance", F.col("part"))
+        rows = dealt.sortWithinPartitions("part", "token", F.get("ids", F.lit(0)) if blocks else F.col("id"))
+        if blocks:
+            zipped = F.arrays_zip("ids", "versions", "lengths", "positions")
+            rows = rows.select("token", "part", F.inline(zipped).alias("id", "version", "length", "positions"))
+        with _open_files(self.spark, self.parts):
+            rows.select("token", "id", "version", "length", "positions", "part").write.partitionBy("part").parquet(f"{self.path}/postings/{segment}")
         heads.write.parquet(f"{self.path}/heads/{segment}")
         return segment
 
@@ -143,11 +191,9 @@ class Index:
         versions, now = self.manifest.versions(), self.entries()
         if name is not None and name in (known := {n: s for s, n in now}):
             return known[name]
-        found = revisions.select("id", "version", text.tokens(text.unaccent(F.coalesce("text", F.lit("")))).alias("t")).withColumn("length", F.size("t"))
-        found = found.repartition("id")  # texts move, tokens don't
-        placed = found.select("id", "version", "length", F.posexplode("t").alias("place", "token"))
-        postings = placed.groupBy("id", "version", "length", "token").agg(F.sort_array(F.collect_list("place")).alias("positions"))
-        segment = self._write(postings.select("token", "id", "version", "length", "positions"), revisions.select("id", "version"))
+        small_batches(self.spark)
+        typed = revisions.select(F.col("id").cast("long").alias("id"), F.col("version").cast("int").alias("version"), text.tokens(text.unaccent(F.coalesce("text", F.lit("")))).alias("t"))
+        segment = self._write(typed.mapInArrow(_blocks, _BLOCKS), revisions.select("id", "version"))
         self._swap([*now, (segment, name)], versions[-1] if versions else 0)
         return segment
 
@@ -194,12 +240,16 @@ class Index:
         now = list(dict.fromkeys(s for s, _ in entries))
         if len(now) < 2:
             return None
-        heads = cut(self.heads(now), "postings-heads")
-        rows = None
-        for s in now:
-            one = self._read("postings", POSTINGS, [s]).drop("part")
-            rows = one if rows is None else rows.unionByName(one)
-        kept = rows.join(heads.hint("merge"), ["id", "version"], "left_semi").dropDuplicates(["token", "id"])
+        # of a revision that came twice the first segment's postings stay
+        heads, rows = None, None
+        for i, seg in enumerate(now):
+            head = self._read("heads", "id long, version int", [seg]).withColumn("at", F.lit(i))
+            one = self._read("postings", POSTINGS, [seg]).drop("part").withColumn("at", F.lit(i))
+            heads, rows = (head, one) if heads is None else (heads.unionByName(head), rows.unionByName(one))
+        newest = heads.groupBy("id").agg(F.max(F.struct("version", (-F.col("at")).alias("at"))).alias("n"))
+        heads = cut(newest.select("id", "n.version", (-F.col("n.at")).alias("at")), "postings-heads")
+        kept = rows.join(heads.hint("shuffle_hash"), ["id", "version", "at"], "left_semi").drop("at")
+        heads = heads.drop("at")
         segment = self._write(kept, heads)
         self._swap([(segment, n) for _, n in entries], versions[-1])
         return segment
