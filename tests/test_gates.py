@@ -132,3 +132,9 @@ def test_a_reader_gives_its_rows_in_frames_of_bounded_size(spark):
     good, _ = pages.auctions(spark.createDataFrame([(str(i), body) for i in range(3)], "page_id string, body string"))
     assert [(r.participants, float(r.volume_vnd)) for r in good.collect()] == [(9000, 45_000 * 1e9)] * 3
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "16m"
+
+
+def test_packets_of_every_form_are_read(spark):
+    packets = ['42["t",{"a":"u","d":[{"SB":"A"}]}]', '42["t",[{"SB":"B"}]]', '421["t",{"SB":"C"}]', '42[ "t" , {"d":{"SB":"D"}}]', json.dumps(["t", '{"d":[{"SB":"E"}]}']).join(["42", ""]), '42["zz",{"SB":"F"}]', '42["",{"SB":"G"}]', '42["t"]', "3probe"]
+    rows = frames.records(spark.createDataFrame([(i, p) for i, p in enumerate(packets)], "received_ms long, packet string"))
+    assert sorted((r.received_ms, r.event, r.fields["SB"]) for r in rows.collect()) == [(0, "t", "A"), (1, "t", "B"), (2, "t", "C"), (3, "t", "D"), (4, "t", "E")]

@@ -52,10 +52,13 @@ def prune_capture(spark: SparkSession, path: str, today: date, keep: int = 30) -
 def records(packets: DataFrame) -> DataFrame:
     """``received_ms``, ``event``, ``pos``, ``fields`` (string map) of the known events' records."""
     body = F.regexp_extract("packet", r"(?s)^42\d*(\[.*\])$", 1)
-    event = F.get_json_object(body, "$[0]")
-    rows = packets.select("received_ms", event.alias("event"), F.get_json_object(body, "$[1]").alias("payload")).where(F.col("event").isin(*EVENTS))
-    inner = F.coalesce(F.get_json_object("payload", "$.d"), F.col("payload"))
-    maps = F.when(inner.startswith("["), F.from_json(inner, "array<map<string,string>>")).otherwise(F.array(F.from_json(inner, "map<string,string>")))
+    plain = F.nullif(F.regexp_extract("body", r'^\["([A-Za-z]*)",', 1), F.lit(""))  # a name that needs no parser
+    rows = packets.select("received_ms", body.alias("body")).select("received_ms", "body", F.coalesce(plain, F.get_json_object("body", "$[0]")).alias("event")).where(F.col("event").isin(*EVENTS))
+    payload = F.get_json_object("body", "$[1]")
+    # the payload itself is looked at only if it has no ``d`` at its top
+    inner = F.coalesce(F.get_json_object("body", "$[1].d"), F.get_json_object(payload, "$.d"), payload)
+    rows = rows.select("received_ms", "event", inner.alias("inner"))
+    maps = F.when(F.col("inner").startswith("["), F.from_json("inner", "array<map<string,string>>")).otherwise(F.array(F.from_json("inner", "map<string,string>")))
     return rows.select("received_ms", "event", F.posexplode(maps).alias("pos", "fields")).where("fields is not null")
 
 
@@ -69,7 +72,7 @@ def accept(rows: DataFrame, window_ms: int = 600_000) -> DataFrame:
     The same function serves captured files and micro-batches, so an offline count
     equals the live one.  Order is arrival, then place in the packet.
     """
-    keyed = rows.withColumn("key", F.sha1(F.concat_ws("\x00", "event", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("fields")))))))
+    keyed = rows.withColumn("key", F.sha1(F.concat_ws("\x00", "event", F.to_json(F.map_from_entries(F.sort_array(F.map_entries("fields")))))))
     fresh = dedup.sliding_dedup(keyed, ["key"], "received_ms", ["received_ms", "pos"], window_ms).where("not dup").drop("dup", "key")
     named = fresh.withColumn("symbol", symbol(F.col("event"), F.col("fields"))).where("symbol is not null")
     return dedup.stamp(named, "symbol", "received_ms", ["received_ms", "pos"])
