@@ -19,6 +19,7 @@ most, whatever the size of a bucket.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,15 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BLOCK = 1 << 14
 
 
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of some 64-bit hashes have each bit."""
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
+    return sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist())
+
+
 def fingerprint(data: bytes | None, shingle: int = 3) -> int:
     """Unsigned SimHash of UTF-8 bytes; null or no word: 0."""
     words = (data or b"").translate(_LOWER).split()
@@ -50,11 +60,11 @@ def fingerprint(data: bytes | None, shingle: int = 3) -> int:
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(starts), _BLOCK):
         some = [hashed(line[s:e], SEED) for s, e in zip(starts[at : at + _BLOCK], ends[at : at + _BLOCK], strict=True)]
-        bits = np.unpackbits(np.array(some, np.uint64).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return sum(1 << i for i in np.flatnonzero(2 * ones > len(starts)).tolist())
+        ones += _ones(np.array(some, np.uint64))
+    return _majority(ones, len(starts))
 
 
+@cache
 def masks(radius: int, bits: int = BITS) -> list[int]:
     """The ``2 ** (radius + 1) - 1`` structured masks of covering LSH."""
     size = 2 ** (radius + 1) - 1
@@ -118,8 +128,10 @@ def groups(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col: str = "do
     return fps.join(named.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Fixed values of the similarity rule: 32 bands of 4 least hashes.  A pair with a
-# similarity of 0.8 shares no band with a probability of 5e-8, a closer one with less.
+# Fixed values of the similarity rule: the covering tables of radius 2, and 32 bands of 4
+# least hashes for what is further apart: pairs at 0.8 differ in 10 bits on average.  One
+# of them shares no band with a probability of 5e-8, a closer one with less.
+RADIUS = 2
 BANDS, ROWS = 32, 4
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -136,6 +148,17 @@ def key(hashes: np.ndarray) -> int:
     return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)) if len(hashes) else 0
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Unsigned SimHash of a set of shingles; no shingle: 0."""
+    return _majority(sum((_ones(hashes[at : at + _BLOCK]) for at in range(0, len(hashes), _BLOCK)), np.zeros(BITS, np.int64)), len(hashes))
+
+
+def tables(hashes: np.ndarray) -> list[int]:
+    """Signed keys of a set of shingles in the covering tables of its SimHash."""
+    own = set_fingerprint(hashes)
+    return [_signed(own & m) for m in masks(RADIUS)]
+
+
 def bands(hashes: np.ndarray) -> list[int]:
     """Signed keys of the bands of a set of shingles."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
@@ -177,9 +200,10 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
     """``doc_id`` and ``component_id`` (as in ``groups``) under chains of similar texts.
 
     Two texts are linked if the sets of their shingles have a Jaccard similarity of
-    ``least`` or more, which is computed exactly for all pairs that share a band.
-    (Covering masks would need ``2 ** (radius + 1) - 1`` tables, and similarities of
-    0.8 are 10 bits apart on average.)  Equal sets are one class.  The members of a
+    ``least`` or more, which is computed exactly.  Sets meet in the covering tables of
+    their SimHash, where all within ``RADIUS`` bits do, and, as similarities of 0.8 are 10
+    bits apart on average and tables double with every bit, in bands of least hashes; a
+    table's bucket is treated like a band.  Equal sets are one class.  The members of a
     band are held against its most central one first, the one that meets most others
     over all bands: a group of copies of one text lies around it.  Bands that this leaves
     in several components give their members to a second round, which joins their rare
@@ -198,7 +222,7 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, id_col: str =
         for b in batches:
             sets = [shingles(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
             keys = [key(x) for x in sets]
-            signed = pa.array([bands(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))
+            signed = pa.array([tables(x) + bands(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), signed], ["doc_id", "sk", "n", "bands"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
