@@ -2,38 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.session import cut
 
 
+#: Width of a slot in spans of ``within + 1``.
+SLOT = 4
+
+
+def _numbers(grams: Column) -> Column:
+    """Trigrams as numbers of three code points."""
+    point = lambda g, i: F.ascii(F.substring(g, i, 1)).cast("long")
+    return F.transform(grams, lambda g: F.shiftleft(point(g, 1), 42) + F.shiftleft(point(g, 2), 21) + point(g, 3))
+
+
 def near_duplicates(articles: DataFrame, key: str, source: str, when: str, within: int, least: float) -> DataFrame:
     """Per article the most similar earlier one (by ``when``) of another source, at most ``within`` before.
 
-    Prefix filtering: of two sets with Jaccard similarity ``least``, each has a shared
-    element among its ``n - ceil(least * n) + 1`` rarest.  Candidates meet on such a
-    trigram and a time slot; sizes must be in proportion, and at the first trigram that
-    they share there must be room for enough others after it.  Sets are made once and
-    written.  Titles that name different days don't match; ties go to the smaller key.
+    Articles meet by time slot, each with those of its own and, if its time reaches back,
+    of the slot before, so sets are moved two or three times however many trigrams they have; a title's trigrams are
+    numbers, made once and written.  Times, sources, sizes (which must be in proportion)
+    and days are compared before sets are.  Titles that name different days don't match;
+    ties go to the smaller key.
     """
-    sets = articles.select(F.col(key).alias("id"), F.col(source).alias("src"), F.col(when).alias("at"), "title", text.trigrams(F.col("title")).alias("t"))
-    sets = cut(sets.withColumn("n", F.size("t")), "near-sets")
-    rarity = cut(sets.select(F.explode("t").alias("g")).groupBy("g").agg(F.count("*").alias("c")), "near-rarity")
-    # a set's trigrams are ranked within its row; only the prefix becomes rows again
-    ranked = sets.select("id", "src", "at", "n", F.explode("t").alias("g")).join(rarity, "g").groupBy("id", "src", "at", "n").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("g"))
-    prefix = F.transform(F.slice("g", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least) + 1).cast("int")), lambda x: x["g"])
-    keyed = cut(ranked.select("id", "src", "at", "n", F.floor(F.col("at") / (within + 1)).alias("slot"), F.posexplode(prefix).alias("r", "g")), "near-prefixes")
-    side = lambda x, slots: keyed.select(F.col("id").alias(x), *[F.col(c).alias(c + x) for c in ("src", "at", "n", "r")], "g", slots)
-    left, right = side("a", F.explode(F.array("slot", F.col("slot") - 1)).alias("slot")), side("b", F.col("slot"))
+    sets = articles.select(F.col(key).alias("id"), F.col(source).alias("src"), F.col(when).alias("at"), _numbers(text.trigrams(F.col("title"))).alias("t"), text.title_dates(F.col("title")).alias("days"))
+    sets = cut(sets.withColumn("n", F.size("t")).where("n > 0"), "near-sets")
+    width = SLOT * (within + 1)
+    slot = F.floor(F.col("at") / width)
+    earliest = F.floor((F.col("at") - within) / width)  # mostly the same slot
+    side = lambda x, slots: sets.select(slots.alias("slot"), *[F.col(c).alias(c + x) for c in ("id", "src", "at", "n", "t", "days")])
+    left, right = side("a", F.explode(F.array_distinct(F.array(slot, earliest)))), side("b", slot)
     na, nb = F.col("na"), F.col("nb")
+    timely = (F.col("atb") < F.col("ata")) & (F.col("ata") - F.col("atb") <= within) & (F.col("srca") != F.col("srcb"))
     sized = F.least(na, nb) >= F.greatest(na, nb) * least - 1e-9
-    room = F.least("ra", "rb") + F.least(na - F.col("ra"), nb - F.col("rb")) >= (na + nb) * (least / (1 + least)) - 1e-9
-    pairs = left.join(right, ["g", "slot"]).where((F.col("srca") != F.col("srcb")) & (F.col("atb") < F.col("ata")) & (F.col("ata") - F.col("atb") <= within) & sized & room).select("a", "b").distinct()
-    x, y = sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), sets.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-    near = pairs.join(x, "a").join(y, "b").withColumn("sim", F.round(text.similarity(F.col("ta"), F.col("tb")), 6)).where(F.col("sim") >= least).select("a", "b", "sim")
-    # titles only for what is similar
-    near = near.join(sets.select(F.col("id").alias("a"), F.col("title").alias("la")), "a").join(sets.select(F.col("id").alias("b"), F.col("title").alias("lb")), "b")
-    near = near.where(text.dates_agree(F.col("la"), F.col("lb")))
+    days = (F.size("daysa") == 0) | (F.size("daysb") == 0) | (F.col("daysa") == F.col("daysb"))
+    sim = F.round(text.similarity(F.col("ta"), F.col("tb")), 6)
+    near = left.join(right, "slot").where(timely & sized & days & (sim >= least)).select(F.col("ida").alias("a"), F.col("idb").alias("b"), sim.alias("sim"))
     return near.groupBy("a").agg(F.max_by(F.struct("b", "sim"), F.struct(F.col("sim"), -F.col("b"))).alias("m")).select(F.col("a").alias(key), F.col("m.b").alias("other"), F.col("m.sim").alias("sim"))
