@@ -17,6 +17,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,24 +41,29 @@ def decoded(raw: pd.Series) -> pd.Series:
 
 
 #: Rows and characters of a frame that a reader gives back, however many its pages hold.
-FRAME_ROWS, FRAME_CHARS = 4096, 1 << 22
+FRAME_ROWS, FRAME_CHARS = 4096, 1 << 20
 
 
 def _weight(x: object) -> int:
     return len(x) if isinstance(x, str) else sum(map(_weight, x)) if isinstance(x, list) else 0
 
 
-def in_frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
-    """Frames of bounded size with ``rows``, which are taken one by one."""
+def in_chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Lists of bounded size of ``rows``, which are taken one by one."""
     some, chars = [], 0
     for row in rows:
         some.append(row)
         chars += sum(map(_weight, row))
         if len(some) >= FRAME_ROWS or chars >= FRAME_CHARS:
-            yield pd.DataFrame(some, columns=columns, dtype=object)
+            yield some
             some, chars = [], 0
     if some:
-        yield pd.DataFrame(some, columns=columns, dtype=object)
+        yield some
+
+
+def in_frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of bounded size with ``rows``."""
+    return (pd.DataFrame(some, columns=columns, dtype=object) for some in in_chunks(rows))
 
 
 @lru_cache(maxsize=256)
@@ -284,25 +290,29 @@ def auction_seed(spark, path: str) -> DataFrame:
 # --- feeds -------------------------------------------------------------------
 
 
-def feed_items(body: str, kind: str, base: str = "", article: str = "") -> list[dict]:
-    """Items of a document: ``rss``, ``sitemap`` (addresses that match ``article``) or ``links`` (ditto)."""
+def feed_items(body: str, kind: str, base: str = "", article: str = "") -> Iterator[dict]:
+    """Items of a document: ``rss``, ``sitemap`` (addresses that match ``article``) or ``links`` (ditto).
+
+    A refused document gives none: it is parsed as a whole before its first item."""
     if kind == "links":
         urls = dict.fromkeys(urljoin(base, e.attrs["href"].strip()) for e in parse_html(body).select("a") if e.attrs.get("href"))
-        out = [{"url": u} for u in urls if re.search(article, u)]
+        out = ({"url": u} for u in urls if re.search(article, u))
     else:
         try:
             root = ET.fromstring(re.sub(r"^\s*<\?xml[^>]*\?>", "", body))
         except ET.ParseError as e:
             raise Refused(f"broken XML: {e}") from e
         local = lambda e: e.tag.rpartition("}")[2]
-        fields = [{local(k): (k.text or "").strip() for k in e} for e in root.iter() if local(e) == ("item" if kind == "rss" else "url")]
+        fields = ({local(k): (k.text or "").strip() for k in e} for e in root.iter() if local(e) == ("item" if kind == "rss" else "url"))
         if kind == "rss":
-            out = [{"url": f["link"], "title": html.unescape(f.get("title", "")), "summary": f.get("description") or None, "published": f.get("pubDate")} for f in fields if f.get("link")]
+            out = ({"url": f["link"], "title": html.unescape(f.get("title", "")), "summary": f.get("description") or None, "published": f.get("pubDate")} for f in fields if f.get("link"))
         else:
-            out = [{"url": f["loc"], "published": f.get("lastmod")} for f in fields if re.search(article, f.get("loc", ""))]
-    if not out:
+            out = ({"url": f["loc"], "published": f.get("lastmod")} for f in fields if re.search(article, f.get("loc", "")))
+    first = next(out, None)
+    if first is None:
         raise Refused("no items")
-    return out
+    yield first
+    yield from out
 
 
 _FEED = "feed string, url string, title string, summary string, published string, error string"
@@ -317,20 +327,23 @@ def feeds(docs: DataFrame) -> DataFrame:
 
     names = [x.split()[0] for x in _FEED.split(", ")]
 
-    def items(parts: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        for r in (r for part in parts for r in part.itertuples(index=False)):
-            try:
-                found = [{"feed": r.feed} | x for x in feed_items(r.body, r.kind, r.base or "", r.article or "")]
-            except Refused as e:
-                found = [{"feed": r.feed, "error": str(e)}]
-            yield from (tuple(map(x.get, names)) for x in found)
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for b in batches:
+            for i in range(b.num_rows):
+                feed, kind, base, article, body = (c[i].as_py() for c in b.columns)  # a document at a time
+                try:
+                    for x in feed_items(body, kind, base or "", article or ""):
+                        yield tuple(map(({"feed": feed} | x).get, names))
+                except Refused as e:
+                    yield tuple(map({"feed": feed, "error": str(e)}.get, names))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from in_frames(items(parts), names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in in_chunks(items(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*some, strict=True)], names)
 
-    small_batches(docs.sparkSession, rows=64)
+    small_batches(docs.sparkSession, rows=64, mb=2)
 
-    rows = docs.select("feed", "kind", "base", "article", "body").mapInPandas(run, _FEED)
+    rows = docs.select(*[F.col(c).cast("string").alias(c) for c in ("feed", "kind", "base", "article", "body")]).mapInArrow(run, _FEED)
     typed = rows.select("*", text.canonical_url(F.col("url")).alias("canonical"), F.coalesce(dates.feed_time(F.col("published")), dates.time_in_url(F.col("url"))).alias("published_at"), text.ticker_of_url(F.col("url")).alias("ticker"))
     return typed.dropDuplicates(["feed", "canonical", "error"])
 
