@@ -61,10 +61,15 @@ def ordered_digest(rows: DataFrame, keys: Sequence[str], columns: Sequence[str])
     return rows.groupBy(*keys).agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(row))), 256).alias("digest"))
 
 
-def merge_same(rows: DataFrame, keys: Sequence[str], summed: Sequence[str], strict: Sequence[str], agree: str) -> DataFrame:
-    """Rows of equal keys merged: sums, sums that are null if any part is, and ``clash`` if ``agree`` differs."""
+def merging(summed: Sequence[str], strict: Sequence[str], agree: str) -> list[Column]:
+    """Aggregates of rows to be merged: sums, sums that are null if any part is, and ``clash`` if ``agree`` differs."""
     null_sum = lambda c: F.when(F.count(c) == F.count("*"), F.sum(c)).alias(c)
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in summed], *[null_sum(c) for c in strict], F.min(agree).alias(agree), (F.count_distinct(agree) > 1).alias("clash"))
+    return [*[F.sum(c).alias(c) for c in summed], *[null_sum(c) for c in strict], F.min(agree).alias(agree), F.coalesce(F.min(agree) < F.max(agree), F.lit(False)).alias("clash")]
+
+
+def merge_same(rows: DataFrame, keys: Sequence[str], summed: Sequence[str], strict: Sequence[str], agree: str) -> DataFrame:
+    """Rows of equal keys merged as ``merging`` says."""
+    return rows.groupBy(*keys).agg(*merging(summed, strict, agree))
 
 
 def unbalanced(rows: DataFrame, totals: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:

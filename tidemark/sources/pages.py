@@ -18,13 +18,13 @@ from urllib.parse import urljoin
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import dates, text
 from tidemark.operators import reshape
-from tidemark.session import cut, small_batches
+from tidemark.session import cut, small_batches, small_methods
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -44,16 +44,16 @@ def decoded(raw: pd.Series) -> pd.Series:
 FRAME_ROWS, FRAME_CHARS = 4096, 1 << 20
 
 
-def _weight(x: object) -> int:
-    return len(x) if isinstance(x, str) else sum(map(_weight, x)) if isinstance(x, list) else 0
-
-
 def in_chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Lists of bounded size of ``rows``, which are taken one by one."""
+    """Lists of bounded size of ``rows``, whose fields may be texts or lists of texts, and which are taken one by one."""
     some, chars = [], 0
     for row in rows:
         some.append(row)
-        chars += sum(map(_weight, row))
+        for x in row:
+            if isinstance(x, str):
+                chars += len(x)
+            elif isinstance(x, list):
+                chars += sum(map(len, x))
         if len(some) >= FRAME_ROWS or chars >= FRAME_CHARS:
             yield some
             some, chars = [], 0
@@ -196,14 +196,104 @@ class Refused(ValueError):
     """A page that isn't what its reader knows."""
 
 
+# Plain rows of a table: their cells hold nothing but text without references and quotes.
+_ATTRS, _TEXT = r"""(?: [a-z-]+="[^"'<>&]*+")*+""", r"""[^<>&"']*+"""
+_CELLS = rf"(?:(?:<td{_ATTRS}>{_TEXT}</td>|<th{_ATTRS}>{_TEXT}</th>)\s*+)*+"
+_ROWS, _ROW = re.compile(rf"(?:<tr{_ATTRS}>\s*+{_CELLS}</tr>\s*+)++"), re.compile(rf"<tr{_ATTRS}>\s*+{_CELLS}</tr>")
+_CELL, _CLASS = re.compile(rf"<t[dh]{_ATTRS}>({_TEXT})<"), re.compile(r' class="([^"]*)"')
+# What a page's title, dates and table are known by; a row that has any of it isn't folded.
+_TELLING = (*RESULT_TITLE.split(), *KIND_HEADER.split(), "(", "ls01-date")
+#: The element that stands for folded rows; its class is their number.
+_FOLDED = "tidemark-rows"
+
+
+@lru_cache(maxsize=1 << 14)
+def _plain_row(row: str) -> tuple[tuple[str, ...], str]:
+    """Cell texts and class of a plain row."""
+    classes = _CLASS.findall(row, 0, row.index(">"))
+    return tuple(" ".join(c.split()) for c in _CELL.findall(row)), classes[-1] if classes else ""
+
+
+def _places(page: str, word: str, lo: int, hi: int) -> Iterator[int]:
+    while (lo := page.find(word, lo, hi)) >= 0:
+        yield lo
+        lo += len(word)
+
+
+def _folded(page: str) -> tuple[str, list[tuple[int, int]]]:
+    """A page whose runs of plain rows each became an element, and where they stand in the page."""
+    out, spans, at = [], [], 0
+
+    def fold(lo: int, hi: int) -> None:
+        nonlocal at
+        words = "…" if re.compile(r">\s*+[^<\s]").search(page, lo, hi) else ""  # what is said before and after isn't joined
+        out.append(f'{page[at:lo]}<{_FOLDED} class="{len(spans)}">{words}</{_FOLDED}>')
+        spans.append((lo, hi))
+        at = hi
+
+    for run in _ROWS.finditer(page):
+        lo = run.start()
+        for told in sorted(x for word in _TELLING for x in _places(page, word, lo, run.end())):
+            if told >= lo:
+                if (row := page.rindex("<tr", lo, told)) > lo:
+                    fold(lo, row)
+                lo = page.index("</tr>", told) + 5
+        if lo < run.end():
+            fold(lo, run.end())
+    return "".join([*out, page[at:]]), spans
+
+
+def _stand_apart(root: Element, n: int) -> bool:
+    """Whether the parser met ``n`` folded runs in order, none of them inside a cell or a date."""
+    met, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        if e.tag == _FOLDED:
+            met.append(e.attrs.get("class"))
+        if e.tag not in ("td", "th") and not e.matches(".ls01-date"):
+            todo += [k for k in reversed(e.kids) if isinstance(k, Element)]
+    return met == [str(i) for i in range(n)]
+
+
 def result_cells(page: str) -> Iterator[tuple[int, list[str], str]]:
     """A results page as plain rows: at -1 its words and the words of its date elements, then the
-    non-empty rows of the first table with the header word, as cell texts with the row's class."""
-    root = parse_html(page)
-    yield -1, [root.text(), "\n".join(e.text() for e in root.select(".ls01-date"))], ""
-    tables = (t for t in root.select("table") if KIND_HEADER in t.text())
-    rows = (([c.text() for c in tr.kids if isinstance(c, Element) and c.tag in ("td", "th")], tr.attrs.get("class", "")) for t in [next(tables, Element("", {}))] for tr in t.select("tr"))
-    yield from ((i, cells, mark) for i, (cells, mark) in enumerate(r for r in rows if any(r[0])))
+    non-empty rows of the first table with the header word, as cell texts with the row's class.
+
+    Runs of plain rows are read by a pattern, the rest of the page by the parser; folded rows
+    whose words tell nothing about the page stand as ``…`` among its words.  A page in which
+    the parser doesn't meet every run as an element outside cells and dates is parsed as a whole."""
+    short, spans = _folded(page)
+    root = parse_html(short)
+    dated = root.select(".ls01-date")
+    if _FOLDED in page or not _stand_apart(root, len(spans)):
+        root, spans = parse_html(page), []
+        dated = root.select(".ls01-date")
+    yield -1, [root.text(), "\n".join(e.text() for e in dated)], ""
+
+    def rows(table: Element) -> Iterator[tuple[list[str], str]]:
+        for e in table.walk():
+            if e.tag == "tr":
+                yield [c.text() for c in e.kids if isinstance(c, Element) and c.tag in ("td", "th")], e.attrs.get("class", "")
+            elif spans and e.tag == _FOLDED:
+                for m in _ROW.finditer(page, *spans[int(e.attrs["class"])]):
+                    cells, mark = _plain_row(m[0])
+                    yield list(cells), mark
+
+    table, at = next((t for t in root.select("table") if KIND_HEADER in t.text()), Element("", {})), 0
+    for cells, mark in rows(table):
+        if any(cells):
+            yield at, cells, mark
+            at += 1
+
+
+def in_groups(rows: Iterator[tuple[int, list[str], str]]) -> Iterator[tuple[int, list[str], str, str | None, bool]]:
+    """Rows of a results page with the label of the group that they stand under, and whether they open it."""
+    under = None
+    for at, cells, mark in rows:
+        label = cells[0] if cells else ""
+        opens = (label in OPERATIONS or "ls01-group" in mark and "ls01-group" in re.split(r"\s+", mark, flags=re.ASCII)) and at >= 0 and not any(KIND_HEADER in c for c in cells)
+        under = label if opens else under
+        yield at, cells, mark, under, opens
 
 
 def _session_date(words: Column, dated: Column) -> Column:
@@ -217,37 +307,39 @@ def _session_date(words: Column, dated: Column) -> Column:
 def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Merged auction rows of ``page_id``, ``body`` pages, and refused pages with their ``error``.
 
-    Pages are read into cells by a function; what a row is, the group that it stands
-    under, totals and refusals are columns, windows within a page and aggregations.
+    Pages are read into cells, row by row under their groups, by a function; what a row
+    is, totals and refusals are columns and aggregations.  Rows are aggregated where they
+    are read, so what moves follows groups and tenors, not rows.
     Any unknown row, group or header refuses its page, and so does a group whose rows
     don't add up to its published total.  Rows of one tenor are two rounds of a day
     and are merged: volumes and, where all are known, counts add up; rates that
     differ are refused.
     """
+    kinds = {"page_id": pa.string(), "at": pa.int32(), "cells": pa.list_(pa.string()), "mark": pa.string(), "under": pa.string(), "opens": pa.bool_()}
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((r.page_id, *row) for part in parts for r in part.itertuples(index=False) for row in result_cells(r.body or ""))
-        yield from in_frames(rows, ["page_id", "at", "cells", "mark"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = ((b.column(0)[i].as_py(), b.column(1)[i].as_py() or "") for b in batches for i in range(b.num_rows))  # a page at a time
+        rows = ((page_id, *row) for page_id, body in read for row in in_groups(result_cells(body)))
+        for some in in_chunks(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds.values(), strict=True)], list(kinds))
 
     small_batches(pages.sparkSession, rows=16)
-    cells = pages.select(F.col("page_id").cast("string").alias("page_id"), "body").mapInPandas(run, "page_id string, at int, cells array<string>, mark string")
+    cells = pages.select(F.col("page_id").cast("string").alias("page_id"), "body").mapInArrow(run, "page_id string, at int, cells array<string>, mark string, under string, opens boolean")
     cell = lambda i: F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
     label, filled = cell(0), lambda i: F.when(cell(i) != "", cell(i))
     names = F.create_map(*[F.lit(x) for kv in OPERATIONS.items() for x in kv])
-    marked = lambda c: F.array_contains(F.split("mark", r"\s+"), c)
+    marked = lambda c: F.col("mark").contains(c) & F.array_contains(F.split("mark", r"\s+"), c)
     # the first rule that holds says what a row is
     rules = {
         "page": F.col("at") < 0,
-        "header": F.exists("cells", lambda c: c.contains(KIND_HEADER)),
-        "group": marked("ls01-group") | label.isin(*OPERATIONS),
+        "header": F.array_join("cells", "\n").contains(KIND_HEADER),
+        "group": F.col("opens"),
         "total": marked("ls01-total") | label.rlike("^[- ]*Tổng"),
         "tenor": label.rlike(r"\d\s*ngày"),
     }
     what = F.coalesce(*[F.when(rule, F.lit(name)) for name, rule in rules.items()], F.lit("odd"))
-    rows = cells.select("*", what.alias("what"))
-    within = Window.partitionBy("page_id").orderBy("at")
-    named = F.last(F.when(F.col("what") == "group", F.coalesce(names[label], F.lit("?"))), ignorenulls=True).over(within)
-    rows = rows.select("*", F.when(F.col("what") != "page", named).alias("op_type"), text.parse_number(filled(2)).alias("volume_bn"), text.parse_number(filled(3)).alias("rate"))
+    named = F.when(F.col("under").isNotNull(), F.coalesce(names[F.col("under")], F.lit("?")))
+    rows = cells.select("*", what.alias("what"), named.alias("op_type"), text.parse_number(filled(2)).alias("volume_bn"), text.parse_number(filled(3)).alias("rate"))
     is_ = lambda *kinds: F.col("what").isin(*kinds)
     error = (
         F.when(is_("page") & ~cell(0).contains(RESULT_TITLE), "no title")
@@ -260,14 +352,18 @@ def auctions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     took = lambda i: F.when(is_("tenor") & cell(1).contains("/"), F.get(F.split(cell(1), "/"), F.lit(i)).try_cast("int"))
     day = F.when(is_("page"), _session_date(cell(0), cell(1)))
-    # pages are read once; what follows are aggregations over what their rows say
-    rows = cut(rows.select("page_id", "at", "what", "op_type", "volume_bn", "rate", error.alias("error"), day.alias("session_date"), F.when(is_("tenor"), F.regexp_extract(label, r"(\d+)\s*ngày", 1)).cast("int").alias("tenor_days"), took(0).alias("participants"), took(1).alias("winners")), "auction-rows")
-    per = rows.groupBy("page_id").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("at"))).alias("first"), F.bool_or(is_("header")).alias("header"), F.bool_or(is_("tenor")).alias("rows"), F.max("session_date").alias("session_date"))
-    sums = rows.groupBy("page_id", "op_type").agg(F.sum(F.when(is_("tenor"), F.col("volume_bn"))).alias("summed"), F.max_by(F.when(is_("total"), F.col("volume_bn")), F.when(is_("total") & F.col("volume_bn").isNotNull(), F.col("at"))).alias("total"))
+    tenor = F.when(is_("tenor"), F.regexp_extract(label, r"(\d+)\s*ngày", 1)).cast("int")
+    total = F.when(is_("total"), F.col("volume_bn"))
+    rows = rows.select("page_id", "at", "what", "op_type", error.alias("error"), day.alias("session_date"), tenor.alias("tenor_days"), total.alias("total"), F.when(is_("tenor"), F.col("volume_bn")).alias("summed"), took(0).alias("participants"), took(1).alias("winners"), F.when(is_("tenor"), F.col("rate").cast("decimal(28,10)")).alias("rate"))
+    # one aggregation of the rows, with errors and totals as keys, so that it holds numbers alone
+    facts = [F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.bool_or(is_("header")).alias("header"), F.bool_or(is_("tenor")).alias("rows"), F.max("session_date").alias("session_date")]
+    groups = rows.groupBy("page_id", "op_type", "tenor_days", "error", "total").agg(*facts, *reshape.merging(["summed"], ["participants", "winners"], "rate"))
+    with small_methods(pages.sparkSession):
+        groups = cut(groups, "auction-groups")
+    per = groups.groupBy("page_id").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("first_at"))).alias("first"), F.bool_or("header").alias("header"), F.bool_or("rows").alias("rows"), F.max("session_date").alias("session_date"))
+    sums = groups.groupBy("page_id", "op_type").agg(F.sum("summed").alias("summed"), F.max_by("total", F.when(F.col("total").isNotNull(), F.col("last_at"))).alias("total"))
     off = sums.where("summed <> total").groupBy("page_id").agg(F.concat(F.lit("rows don't add up to their total: "), F.min("op_type")).alias("off"))
-    tenors = rows.where("what = 'tenor' and error is null")
-    typed = tenors.select("page_id", "op_type", "tenor_days", "participants", "winners", F.col("volume_bn").cast("decimal(28,10)").alias("volume_bn"), F.col("rate").cast("decimal(28,10)").alias("rate"))
-    merged = reshape.merge_same(typed, ["page_id", "op_type", "tenor_days"], ["volume_bn"], ["participants", "winners"], "rate")
+    merged = groups.where("rows and error is null").select("page_id", "op_type", "tenor_days", F.col("summed").alias("volume_bn"), "participants", "winners", "rate", "clash")
     clash = merged.where("clash").select("page_id", F.lit("rows of one tenor differ in rate").alias("clash")).distinct()
     judged = per.join(off, "page_id", "left").join(clash, "page_id", "left")
     gone = F.when(~F.col("header"), "no header").when(~F.col("rows"), "no rows")
