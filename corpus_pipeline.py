@@ -80,7 +80,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, one row per chunk: ``doc_id``, ``at``, ``ids`` and ``exact``
     (whether they decode to the chunk)."""
-    return pieces.encode(docs, pieces.Model.load(MODEL), columns=("ids", "exact")).select("doc_id", "at", "ids", "exact")
+    return pieces.encode(docs, pieces.Model.load(MODEL, own_kind=True), columns=("ids", "exact")).select("doc_id", "at", "ids", "exact")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
