@@ -82,41 +82,111 @@ def at_most(places: list[Column]) -> Column:
     return 1 - F.pow(F.lit(1 - closest), pairs)
 
 
-_BLOCKS = "token string, ids array<long>, versions array<int>, lengths array<int>, positions array<array<int>>"
+#: Columns of postings, and what moves: all postings that a batch has of a part, as compressed Arrow streams
+#: of narrow columns, places apart.
+_COLUMNS = pa.schema([("token", pa.string()), ("id", pa.int64()), ("version", pa.int32()), ("length", pa.int32()), ("positions", pa.list_(pa.int32()))])
+_PACKED = "part int, packed binary, places binary"
+#: Texts and postings that are packed at once, and bytes of either.
+PACKED_TEXTS, PACKED_ROWS, PACKED_BYTES = 1 << 12, 1 << 16, 16 << 20
+#: Revisions of ids that have several which a merge sends to every task; if there are more, it moves postings by id.
+MOST_SENT = 1 << 20
+
+
+def _narrow(x: pa.Array) -> pa.Array:
+    """Numbers in the narrowest type that holds them."""
+    own = x.to_numpy()
+    return pa.array(own.astype(np.min_scalar_type(own.max()))) if len(own) and own.min() >= 0 else x
+
+
+def _stream(columns: dict[str, pa.Array]) -> bytes:
+    rows, sink = pa.RecordBatch.from_arrays(list(columns.values()), list(columns)), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _packed(part: np.ndarray, postings: pa.RecordBatch) -> pa.RecordBatch:
+    """A row per part of postings whose rows of a part stand together."""
+    starts, out = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)), []
+    for lo, hi in zip(starts, starts[1:], strict=False):
+        own = postings.slice(lo, hi - lo)
+        numbers = {k: _narrow(own.column(k)) for k in ("id", "version", "length")}
+        packed = _stream({"token": own.column("token").dictionary_encode(), **numbers, "n": _narrow(own.column("positions").value_lengths())})
+        out.append((packed, _stream({"place": _narrow(own.column("positions").flatten())})))
+    packed, places = zip(*out, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(part[starts[:-1]], pa.int32()), pa.array(packed, pa.binary()), pa.array(places, pa.binary())], ["part", "packed", "places"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` rows or ``PACKED_BYTES``, however small those are that come."""
+    some, rows, size = [], 0, 0
+    for b in batches:
+        some, rows, size = [*some, b], rows + b.num_rows, size + b.nbytes
+        if rows >= most or size >= PACKED_BYTES:
+            yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+            some, rows, size = [], 0, 0
+    if rows:
+        yield from pa.Table.from_batches(some).combine_chunks().to_batches()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings of a batch of ``id``, ``version``, ``t`` (tokens) in a row per token."""
-    for b in batches:
+def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed postings of batches of ``id``, ``version``, ``t`` (tokens) and ``p`` (their parts)."""
+    for b in _joined(batches, PACKED_TEXTS):
         sizes = b.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         words = b.column(2).flatten().dictionary_encode()
         if not len(words):
             continue
         row = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        own = words.indices.to_numpy().astype(np.int64) * len(sizes) + row
-        order = np.argsort(own, kind="stable")  # by token, text and place
+        code = words.indices.to_numpy().astype(np.int64)
+        part = np.zeros(len(words.dictionary), np.int64)
+        part[code] = b.column(3).flatten().to_numpy()
+        by_part = np.argsort(part, kind="stable")
+        turn = np.empty_like(by_part)
+        turn[by_part] = np.arange(len(by_part))
+        own = turn[code] * len(sizes) + row
+        order = np.argsort(own, kind="stable")  # by part, token, text and place
         own = own[order]
         starts = np.flatnonzero(np.diff(own, prepend=-1))
         token, of = np.divmod(own[starts], len(sizes))
-        first = np.flatnonzero(np.diff(token, prepend=-1))
-        ends = pa.array(np.append(first, len(token)), pa.int32())
-        listed = lambda x: pa.ListArray.from_arrays(ends, x)  # noqa: B023, E731
+        token = by_part[token]
         places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(own)), pa.int32()), pa.array(place[order], pa.int32()))
-        columns = [words.dictionary.take(pa.array(token[first])).cast(pa.string()), *[listed(x) for x in (b.column(0).take(pa.array(of)), b.column(1).take(pa.array(of)), pa.array(sizes[of], pa.int32()), places)]]
-        yield pa.RecordBatch.from_arrays(columns, ["token", "ids", "versions", "lengths", "positions"])
+        columns = [words.dictionary.take(pa.array(token)).cast(pa.string()), b.column(0).take(pa.array(of)), b.column(1).take(pa.array(of)), pa.array(sizes[of], pa.int32()), places]
+        yield _packed(part[token], pa.RecordBatch.from_arrays(columns, schema=_COLUMNS))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed postings of batches of ``part`` and postings."""
+    for b in _joined(batches, PACKED_ROWS):
+        order = pa.array(np.argsort(b.column(0).to_numpy(), kind="stable"))
+        part, *own = (c.take(order) for c in b.columns)
+        yield _packed(part.to_numpy(), pa.RecordBatch.from_arrays([c.cast(k.type) for c, k in zip(own, _COLUMNS, strict=True)], schema=_COLUMNS))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings and their part, of packed ones."""
+    for b in batches:
+        for part, packed, places in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+            rows, flat = (pa.ipc.open_stream(x.as_buffer()).read_next_batch() for x in (packed, places))
+            ends = np.cumsum(np.append(0, rows.column("n").to_numpy()), dtype=np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), flat.column(0).cast(pa.int32()))
+            own = [rows.column(k.name).cast(k.type) for k in list(_COLUMNS)[:-1]]
+            yield pa.RecordBatch.from_arrays([*own, listed, pa.array(np.full(len(listed), part, np.int32))], [*_COLUMNS.names, "part"])
 
 
 @contextmanager
-def _open_files(spark: SparkSession, n: int) -> Iterator[None]:
-    """While it lasts, a task keeps so many files open and doesn't sort its rows by file."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, n)
+def _writing(spark: SparkSession, files: int) -> Iterator[None]:
+    """While it lasts, a task keeps so many files open and doesn't sort its rows by file, and gets
+    few packed postings, as they grow when they are unpacked."""
+    wanted = {"spark.sql.maxConcurrentOutputFileWriters": files, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 @dataclass(frozen=True)
@@ -168,19 +238,15 @@ class Index:
         rows = [(i, *e) for i, e in enumerate(entries)]
         self.manifest.replace(self.spark.createDataFrame(rows, "at int, segment string, name string").coalesce(1), base=base)
 
-    def _write(self, postings: DataFrame, heads: DataFrame) -> str:
-        """Write rows of postings, or of blocks of them, as a segment.
+    def _write(self, packed: DataFrame, heads: DataFrame) -> str:
+        """Write packed postings as a segment.
 
-        Rows are dealt by part; adaptive execution cuts a part that is large (a token that
+        They are dealt by part; adaptive execution cuts a part that is large (a token that
         every text has) and joins small ones."""
-        segment, blocks = uuid.uuid4().hex, "ids" in postings.columns
-        dealt = postings.withColumn("part", self._part(F.col("token"))).hint("rebalance", F.col("part"))
-        rows = dealt.sortWithinPartitions("part", "token", F.get("ids", F.lit(0)) if blocks else F.col("id"))
-        if blocks:
-            zipped = F.arrays_zip("ids", "versions", "lengths", "positions")
-            rows = rows.select("token", "part", F.inline(zipped).alias("id", "version", "length", "positions"))
-        with _open_files(self.spark, self.parts):
-            rows.select("token", "id", "version", "length", "positions", "part").write.partitionBy("part").parquet(f"{self.path}/postings/{segment}")
+        segment = uuid.uuid4().hex
+        rows = packed.hint("rebalance", F.col("part")).mapInArrow(_unpacked, POSTINGS).sortWithinPartitions("part", "token", "id")
+        with _writing(self.spark, self.parts):
+            rows.write.partitionBy("part").option("compression", "zstd").parquet(f"{self.path}/postings/{segment}")
         heads.write.parquet(f"{self.path}/heads/{segment}")
         return segment
 
@@ -193,7 +259,8 @@ class Index:
             return known[name]
         small_batches(self.spark)
         typed = revisions.select(F.col("id").cast("long").alias("id"), F.col("version").cast("int").alias("version"), text.tokens(text.unaccent(F.coalesce("text", F.lit("")))).alias("t"))
-        segment = self._write(typed.mapInArrow(_blocks, _BLOCKS), revisions.select("id", "version"))
+        parted = typed.where("id is not null and version is not null").select("*", F.transform("t", self._part).alias("p"))  # no search finds others
+        segment = self._write(parted.mapInArrow(_inverted, _PACKED), revisions.select("id", "version"))
         self._swap([*now, (segment, name)], versions[-1] if versions else 0)
         return segment
 
@@ -244,13 +311,16 @@ class Index:
         heads, rows = None, None
         for i, seg in enumerate(now):
             head = self._read("heads", "id long, version int", [seg]).withColumn("at", F.lit(i))
-            one = self._read("postings", POSTINGS, [seg]).drop("part").withColumn("at", F.lit(i))
+            one = self._read("postings", POSTINGS, [seg]).withColumn("at", F.lit(i))
             heads, rows = (head, one) if heads is None else (heads.unionByName(head), rows.unionByName(one))
-        newest = heads.groupBy("id").agg(F.max(F.struct("version", (-F.col("at")).alias("at"))).alias("n"))
-        heads = cut(newest.select("id", "n.version", (-F.col("n.at")).alias("at")), "postings-heads")
-        kept = rows.join(heads.hint("shuffle_hash"), ["id", "version", "at"], "left_semi").drop("at")
-        heads = heads.drop("at")
-        segment = self._write(kept, heads)
+        newest = heads.groupBy("id").agg(F.max(F.struct("version", (-F.col("at")).alias("at"))).alias("n"), F.count("*").alias("k"))
+        heads = cut(newest.select("id", "n.version", (-F.col("n.at")).alias("at"), "k"), "postings-heads")
+        # only ids that have several revisions have postings that go
+        several = heads.where("k > 1").select(F.col("id").alias("i"), F.col("version").alias("v"), F.col("at").alias("a"))
+        several = F.broadcast(several) if several.count() <= MOST_SENT else several.hint("shuffle_hash")
+        older = (F.col("id") == F.col("i")) & ((F.col("version") != F.col("v")) | (F.col("at") != F.col("a")))
+        kept = rows.join(several, older, "left_anti").select("part", "token", "id", "version", "length", "positions")
+        segment = self._write(kept.mapInArrow(_gathered, _PACKED), heads.select("id", "version"))
         self._swap([(segment, n) for _, n in entries], versions[-1])
         return segment
 
